@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from adperf.plans import q_signals
+from adperf.plans import q_clicks, q_signals
 
-MODULES = [q_signals]
+MODULES = [q_signals, q_clicks]
 
 
 def queries() -> dict:
