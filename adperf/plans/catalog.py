@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from adperf.plans import q_clicks, q_eval, q_signals
+from adperf.plans import q_attr, q_clicks, q_eval, q_signals
 
-MODULES = [q_signals, q_clicks, q_eval]
+MODULES = [q_signals, q_clicks, q_eval, q_attr]
 
 
 def queries() -> dict:
