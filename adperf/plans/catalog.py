@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from adperf.plans import q_attr, q_clicks, q_eval, q_report, q_signals
+from adperf.plans import q_attr, q_clicks, q_eval, q_publish, q_report, q_signals
 
-MODULES = [q_signals, q_clicks, q_eval, q_attr, q_report]
+MODULES = [q_signals, q_clicks, q_eval, q_attr, q_report, q_publish]
 
 
 def queries() -> dict:
