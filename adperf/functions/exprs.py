@@ -88,3 +88,22 @@ def drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 def checked_broadcast(df: DataFrame, max_rows: int = 5_000_000) -> DataFrame:
     """Broadcast a dimension only after checking its row count; else leave the join to AQE."""
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def is_dst(day, tz: str = "America/Los_Angeles") -> bool:
+    """Whether daylight saving time is in force at noon of ``day`` in ``tz`` (op B24)."""
+    import datetime as _dt
+    from zoneinfo import ZoneInfo
+    d = day if isinstance(day, _dt.date) else _dt.date.fromisoformat(str(day))
+    return bool(_dt.datetime(d.year, d.month, d.day, 12, tzinfo=ZoneInfo(tz)).dst())
+
+
+def local_day_fixed(gmt_ts: str | Column, anchor_day, tz: str = "America/Los_Angeles") -> Column:
+    """GMT timestamp -> local day using the anchor day's offset for every row (op B24, S23)."""
+    hours = 7 if is_dst(anchor_day, tz) else 8
+    return F.to_date(c(gmt_ts) - F.expr(f"INTERVAL {hours} HOURS"))
+
+
+def local_day_exact(gmt_ts: str | Column, tz: str = "America/Los_Angeles") -> Column:
+    """GMT wall-clock timestamp -> local day with each row's own offset (op B24)."""
+    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(tz), c(gmt_ts).cast("timestamp_ntz")))
