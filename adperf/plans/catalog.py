@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from adperf.plans import q_attr, q_clicks, q_eval, q_model, q_publish, q_report, q_signals
+from adperf.plans import q_attr, q_clicks, q_eval, q_merge, q_model, q_publish, q_report, q_signals
 
-MODULES = [q_signals, q_clicks, q_eval, q_attr, q_report, q_publish, q_model]
+MODULES = [q_signals, q_clicks, q_eval, q_attr, q_report, q_publish, q_model, q_merge]
 
 
 def queries() -> dict:
