@@ -55,3 +55,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/adperf-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut lineage by a reliable checkpoint in the shared checkpoint folder (never a local one)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
