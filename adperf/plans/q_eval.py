@@ -13,7 +13,7 @@ from adperf.operators import signals as S
 from adperf.operators.features import sem_features
 from adperf.plans.common import UNIVERSE_FIXTURES, metric_names, tables, universe, universe_sql
 from adperf.plans.finalize import finalize
-from adperf.plans.params import ANCHOR, EXCLUDED, FEATURE_WINDOWS, W1
+from adperf.plans.params import ANCHOR, EXCLUDED, FEATURE_WINDOWS, LABEL, W1
 from adperf.plans.q_signals import _attr_sums_sql
 from adperf.plans.sqlkit import final, fixtures, win
 
@@ -103,13 +103,14 @@ SQL["target_filters"] = mf_with(f"select {KEY}, "
 @register("training_gate")
 def q_training_gate(spark, sf):
     mf = model_frame(tables(spark, sf))
-    return finalize(V.training_gate(mf).select(*AD_KEY, "sem_clicks_w1", "sem_convrt_seller_l"))
+    gated = V.training_gate(mf, "sem_clicks_l", 100.0, LABEL.length)
+    return finalize(gated.select(*AD_KEY, "sem_clicks_l", "sem_rpc_seller_l"))
 
 
-SQL["training_gate"] = mf_with(f"""select {KEY}, sem_clicks_w1, sem_convrt_seller_l from mf
-where (sem_convrt_seller_l is not null or sem_ordersize_seller_l is not null) and sem_clicks_w1 >= 100.0 / 28
+SQL["training_gate"] = mf_with(f"""select {KEY}, sem_clicks_l, sem_rpc_seller_l from mf
+where (sem_rpc_brand_l is not null or sem_rpc_seller_l is not null) and sem_clicks_l >= {100.0 / LABEL.length!r}
   and sem_orders_brand_l is not null and sem_orders_seller_l is not null""",
-                               floats=["sem_clicks_w1", "sem_convrt_seller_l"])
+                               floats=["sem_clicks_l", "sem_rpc_seller_l"])
 
 
 # B19 ---------------------------------------------------------------------------
