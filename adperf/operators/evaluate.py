@@ -64,13 +64,17 @@ def baseline_own(df: DataFrame, metric: str, w_a: str = "w1", w_b: str = "w2") -
     return (F.col(f"{metric}_{w_a}") + F.col(f"{metric}_{w_b}")) / 2
 
 
-def baseline_dept(df: DataFrame, metric: str, dept: str, out: str, w_a: str = "w1", w_b: str = "w2") -> DataFrame:
+def baseline_dept(df: DataFrame, metrics: str | list[str], dept: str, out: str | list[str], w_a: str = "w1",
+                  w_b: str = "w2") -> DataFrame:
     """Department mean of each window, halved sum, joined back (op D20, C22).
 
-    The per-department aggregate is tiny (one row per department); AQE
-    broadcasts it at run time.
+    All metrics share one per-department aggregate (one row per department,
+    broadcast by AQE at run time) and one join.
     """
-    g = df.groupBy(dept).agg(((F.avg(f"{metric}_{w_a}") + F.avg(f"{metric}_{w_b}")) / 2).alias(out))
+    metrics = [metrics] if isinstance(metrics, str) else metrics
+    out = [out] if isinstance(out, str) else out
+    g = df.groupBy(dept).agg(*[((F.avg(f"{m}_{w_a}") + F.avg(f"{m}_{w_b}")) / 2).alias(o)
+                               for m, o in zip(metrics, out)])
     return df.join(g, dept, "left")
 
 
@@ -79,6 +83,12 @@ def baseline_global(df: DataFrame, target: str) -> Column:
     return df.select(F.avg(target)).scalar()
 
 
+def global_means(df: DataFrame, targets: list[str]) -> dict[str, Column]:
+    """Global means of several targets from one scalar subquery (one extra pass, not one per target)."""
+    s = df.select(F.struct(*[F.avg(t).alias(t) for t in targets])).scalar()
+    return {t: s.getField(t) for t in targets}
+
+
 # -------------------------------------------------------------------- errors
 def _valid(y: str, p: str, w: str) -> Column:
     return F.col(y).isNotNull() & F.col(p).isNotNull() & F.col(w).isNotNull()
@@ -129,30 +139,31 @@ def histogram(df: DataFrame, x: str, bins: int = 100, lo: float | None = None, h
     Bucket 0 holds values below the range, ``bins + 1`` values at or above its top.
     """
     v = F.col(x)
-    lo_c = F.lit(lo) if lo is not None else df.select(F.min(x)).scalar()
-    hi_c = F.lit(hi) if hi is not None else df.select(F.max(x)).scalar()
+    bounds = df.select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    lo_c = F.lit(lo) if lo is not None else bounds.getField("lo")
+    hi_c = F.lit(hi) if hi is not None else bounds.getField("hi")
     b = (F.when(v < lo_c, 0).when(v >= hi_c, bins + 1)
          .otherwise(F.floor((v - lo_c) / (hi_c - lo_c) * bins).cast("int") + 1))
     return df.where(v.isNotNull()).groupBy(b.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def numeric_summary(df: DataFrame, cols: list[str], quartiles: bool = False) -> DataFrame:
-    """Count, mean, sample std, min, max per column, one row each (op D25).
+    """Count, mean, sample std, min, max per column, one row each (op D25), in a single pass.
 
     Quartiles, when asked for, come from ``percentile_approx`` (a mergeable
     sketch), which stays partial-aggregated at any scale.
     """
-    parts = []
-    for x in cols:
-        aggs = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                F.min(x).cast("double").alias("min"), F.max(x).cast("double").alias("max")]
+    aggs = []
+    for i, x in enumerate(cols):
+        aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
+                 F.min(x).cast("double").alias(f"lo{i}"), F.max(x).cast("double").alias(f"hi{i}")]
         if quartiles:
-            aggs += [F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias("quartiles")]
-        parts.append(df.agg(*aggs).select(F.lit(x).alias("column"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).cast("array<double>").alias(f"q{i}"))
+    fields = ["count", "mean", "std", "min", "max"] + (["quartiles"] if quartiles else [])
+    rows = [F.struct(F.lit(x).alias("column"), *[F.col(f"{p}{i}").alias(f) for p, f in
+                                                  zip(["c", "m", "s", "lo", "hi", "q"], fields)])
+            for i, x in enumerate(cols)]
+    return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def linear_fit(df: DataFrame, y: str, x: str) -> DataFrame:
@@ -207,17 +218,16 @@ def composite_rpc(convrt: str | Column, ordersize: str | Column) -> Column:
 
 
 def type_profile(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Per column min, max, integrality and the narrowest fitting type (op B29, S21)."""
-    parts = []
-    for x in cols:
+    """Per column min, max, integrality and the narrowest fitting type (op B29, S21), in a single pass."""
+    aggs = []
+    for i, x in enumerate(cols):
         v = F.col(x).cast("double")
         finite = ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")))
-        frac = F.count_if(v.isNotNull() & finite & (v != F.floor(v)))
-        parts.append(df.agg(F.min(v).alias("min"), F.max(v).alias("max"), (frac == 0).alias("integral"))
-                     .select(F.lit(x).alias("column"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        aggs += [F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"),
+                 (F.count_if(v.isNotNull() & finite & (v != F.floor(v))) == 0).alias(f"int{i}")]
+    rows = [F.struct(F.lit(x).alias("column"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"),
+                     F.col(f"int{i}").alias("integral")) for i, x in enumerate(cols)]
+    out = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     lo, hi = F.col("min"), F.col("max")
     narrow = (F.when(F.col("integral") & (lo >= -128) & (hi <= 127), "tinyint")
               .when(F.col("integral") & (lo >= -32768) & (hi <= 32767), "smallint")

@@ -16,6 +16,7 @@ from adperf.plans.finalize import finalize
 from adperf.plans.params import ANCHOR, EXCLUDED, FEATURE_WINDOWS, LABEL, W1
 from adperf.plans.q_signals import _attr_sums_sql
 from adperf.plans.sqlkit import final, fixtures, win
+from adperf.session import materialize
 
 Q: dict = {}
 SQL: dict = {}
@@ -37,6 +38,15 @@ def model_frame(T):
                         excluded=EXCLUDED, keep=MF_KEEP)
 
 
+def stored_model_frame(T):
+    """The model frame written once to the shared checkpoint folder.
+
+    Evaluation reads it several times (rows, group and global aggregates,
+    model fits); the source likewise reads a stored feature table.
+    """
+    return materialize(model_frame(T))
+
+
 def model_sql() -> str:
     spec = metric_spec(("brand", "seller"))
     ctes, packs, joins = [], [], []
@@ -162,9 +172,8 @@ SQL["baseline_own"] = mf_with(f"select {KEY}, " + ", ".join(
 @register("baseline_dept")
 def q_baseline_dept(spark, sf):
     mf = model_frame(tables(spark, sf))
-    out = mf
-    for m in ("convrt", "ordersize", "rpc"):
-        out = V.baseline_dept(out, f"sem_{m}_seller", "department_id", f"pred_{m}_dept")
+    ms = ("convrt", "ordersize", "rpc")
+    out = V.baseline_dept(mf, [f"sem_{m}_seller" for m in ms], "department_id", [f"pred_{m}_dept" for m in ms])
     return finalize(out.select(*AD_KEY, "department_id", *[f"pred_{m}_dept" for m in ("convrt", "ordersize", "rpc")]))
 
 
@@ -177,8 +186,9 @@ from mf left join (select department_id, {', '.join(f'(avg(sem_{m}_seller_w1) +
 
 @register("baseline_global")
 def q_baseline_global(spark, sf):
-    mf = model_frame(tables(spark, sf))
-    return finalize(mf.select(*AD_KEY, *[V.baseline_global(mf, f"sem_{m}_seller_l").alias(f"pred_{m}_global")
+    mf = stored_model_frame(tables(spark, sf))
+    g = V.global_means(mf, [f"sem_{m}_seller_l" for m in ("convrt", "ordersize", "rpc")])
+    return finalize(mf.select(*AD_KEY, *[g[f"sem_{m}_seller_l"].alias(f"pred_{m}_global")
                                          for m in ("convrt", "ordersize", "rpc")]))
 
 
@@ -188,8 +198,8 @@ SQL["baseline_global"] = mf_with(f"select {KEY}, " + ", ".join(
 
 
 # D21 / D22 ---------------------------------------------------------------------
-def _own_rpc(T):
-    mf = model_frame(T)
+def _own_rpc(T, stored: bool = False):
+    mf = stored_model_frame(T) if stored else model_frame(T)
     return mf.withColumn("pred_rpc_own", V.baseline_own(mf, "sem_rpc_seller"))
 
 
@@ -235,12 +245,11 @@ def _pairs():
 
 @register("eval_table")
 def q_eval_table(spark, sf):
-    mf = model_frame(tables(spark, sf))
-    df = mf
-    for m in TARGET_W:
-        df = V.baseline_dept(df, f"sem_{m}_seller", "department_id", f"pred_{m}_dept")
-        df = df.withColumn(f"pred_{m}_own", V.baseline_own(df, f"sem_{m}_seller"))
-        df = df.withColumn(f"pred_{m}_global", V.baseline_global(mf, f"sem_{m}_seller_l"))
+    mf = stored_model_frame(tables(spark, sf))
+    df = V.baseline_dept(mf, [f"sem_{m}_seller" for m in TARGET_W], "department_id", [f"pred_{m}_dept" for m in TARGET_W])
+    g = V.global_means(mf, [f"sem_{m}_seller_l" for m in TARGET_W])
+    df = df.withColumns({**{f"pred_{m}_own": V.baseline_own(df, f"sem_{m}_seller") for m in TARGET_W},
+                         **{f"pred_{m}_global": g[f"sem_{m}_seller_l"] for m in TARGET_W}})
     return finalize(V.eval_table(df, _pairs()))
 
 
@@ -270,7 +279,7 @@ SQL["eval_table"] = _eval_sql()
 # D30 ---------------------------------------------------------------------------
 @register("weighted_error_share")
 def q_weighted_error_share(spark, sf):
-    df = _own_rpc(tables(spark, sf))
+    df = _own_rpc(tables(spark, sf), stored=True)
     return finalize(df.select(*AD_KEY, V.weighted_error_share(df, "sem_rpc_seller_l", "pred_rpc_own", "sem_clicks_l")
                               .alias("error_share")))
 
@@ -301,7 +310,7 @@ from mf join cuts on true where sem_clicks_w1 is not null group by all""", float
 @register("histogram")
 def q_histogram(spark, sf):
     mf = model_frame(tables(spark, sf))
-    return finalize(V.histogram(mf, "sem_rpc_seller_w1", 100))
+    return finalize(V.histogram(stored_model_frame(tables(spark, sf)), "sem_rpc_seller_w1", 100))
 
 
 SQL["histogram"] = mf_with(""", b as (select min(sem_rpc_seller_w1) as lo, max(sem_rpc_seller_w1) as hi from mf)

@@ -15,7 +15,8 @@ from adperf.operators.features import multi_anchor_sums
 from adperf.plans.common import UNIVERSE_FIXTURES, tables, universe, universe_sql
 from adperf.plans.finalize import finalize
 from adperf.plans.params import ANCHOR, EXCLUDED, W1
-from adperf.plans.q_eval import model_frame
+from adperf.plans.q_eval import model_frame, stored_model_frame
+from adperf.session import materialize
 from adperf.plans.sqlkit import d, final, fixtures, win
 
 Q: dict = {}
@@ -116,7 +117,8 @@ GBT_FEATURES = [f"sem_{m}_{w}" for w in ("w1", "w2", "v2")
 
 
 def _mf_folds(T):
-    return V.fold_assign(model_frame(T), AD_KEY, 5)
+    # Each fold's fit reads the frame again: store it once with its folds.
+    return materialize(V.fold_assign(model_frame(T), AD_KEY, 5))
 
 
 @register("gbt_oof")
@@ -136,7 +138,7 @@ def q_kfold_score(spark, sf):
 # H9 ----------------------------------------------------------------------------
 @register("fm_regression")
 def q_fm_regression(spark, sf):
-    mf = model_frame(tables(spark, sf))
+    mf = stored_model_frame(tables(spark, sf))
     return finalize(M.fm_regression(mf, AD_KEY, ["department_id", "division_id", "category_id"], "sem_rpc_seller_w1"))
 
 

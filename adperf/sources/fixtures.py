@@ -12,6 +12,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adperf.sources.scans import read_parquet
+
 # Anchor day, test windows and excluded days of the fixtures.
 ANCHOR = "2001-06-30"
 EXCLUDED = ("2001-06-04", "2001-05-28")
@@ -30,7 +32,7 @@ class TestTables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
 
     # ------------------------------------------------------------------ traffic
     @cached_property
