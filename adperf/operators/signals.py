@@ -156,12 +156,19 @@ def product_events(products_nested: DataFrame, *, anchor: str, window: DayWindow
             .distinct())
 
 
-def seller_map_join(product_events_df: DataFrame, item_dim: DataFrame) -> DataFrame:
-    """Map sellers (inner, broadcast after a size check) and products to items (ops C4, C5)."""
+def seller_map_join(product_events_df: DataFrame, item_dim: DataFrame, broadcast_rows: int | None = None) -> DataFrame:
+    """Map sellers (inner) and products to items (left) (ops C4, C5).
+
+    The seller map is one row per seller. By default the broadcast decision is
+    AQE's, made on the map's measured size at run time (no eager count);
+    ``broadcast_rows`` forces an explicit row-count check and hint instead.
+    """
     snap = latest_snapshot(item_dim, "ts")
     sellers = snap.select("seller_id", "us_seller_id").distinct()
+    if broadcast_rows is not None:
+        sellers = checked_broadcast(sellers, broadcast_rows)
     items = snap.select("product_id", "item_id").distinct()
-    return (product_events_df.join(checked_broadcast(sellers), "seller_id", "inner")
+    return (product_events_df.join(sellers, "seller_id", "inner")
             .join(items, "product_id", "left")
             .select("session_id", "dt", "action", "us_seller_id", "item_id"))
 
