@@ -33,8 +33,8 @@ def register(name):
     return deco
 
 
-def model_frame(T):
-    return sem_features(universe(T), T.traffic_daily, T.attributed_14d, anchor=ANCHOR, windows=FEATURE_WINDOWS,
+def model_frame(T, u=None):
+    return sem_features(universe(T) if u is None else u, T.traffic_daily, T.attributed_14d, anchor=ANCHOR, windows=FEATURE_WINDOWS,
                         excluded=EXCLUDED, keep=MF_KEEP)
 
 

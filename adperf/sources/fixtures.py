@@ -52,6 +52,9 @@ def stored(fn):
         path = _STORED.get(key)
         if path is None:
             df = fn(self)
+            parts = self.spark.sparkContext.defaultParallelism
+            # at least one file per core, spread by a row hash (AQE may have coalesced small outputs)
+            df = df.repartition(parts, F.xxhash64(*df.columns))
             day = DAY_COLUMN.get(name)
             if day:
                 # cluster each file by day so window predicates can skip row groups
