@@ -72,6 +72,8 @@ def stored(fn):
 class TestTables:
     """Adapters over ``{sf_dir}/{table}.parquet``; stored once per session unless ``store=False``."""
 
+    __test__ = False  # not a pytest class
+
     def __init__(self, spark: SparkSession, sf_dir: str, store: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
