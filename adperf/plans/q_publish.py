@@ -11,7 +11,7 @@ from adperf.plans.finalize import finalize
 from adperf.plans.params import ANCHOR, EXCLUDED, W1
 from adperf.plans.q_signals import ORDERS_SQL, PAGE_SQL
 from adperf.plans.sqlkit import final, fixtures, win
-from adperf.session import scratch_path
+from adperf.session import materialize, scratch_path
 from adperf.sources import files as IO
 
 Q: dict = {}
@@ -114,7 +114,7 @@ def q_publish_dynamic(spark, sf):
     IO.stage_partitioned(start, path, PART_COLS)
     table = spark.read.schema(BID_SCHEMA).parquet(path)
     prod = table.where((F.col("ds") == NEW_DAY) & (F.col("method") == "LTA") & (F.col("model") == "warm"))
-    prod = prod.checkpoint()  # cut lineage: the publish overwrites the partition it reads
+    prod = materialize(prod, "bids-prod")  # cut lineage: the publish overwrites the partition it reads
     new = P.gated_override(prod, T.predictions, T.ab_groups, DIVISIONS)
     P.publish_dynamic(new.select(*BID_COLS, *PART_COLS), path, PART_COLS, expected_rows=prod)
     return finalize(spark.read.schema(BID_SCHEMA).parquet(path))

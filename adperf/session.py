@@ -38,9 +38,34 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001  (sessions without a JVM context, e.g. Spark Connect)
+        return None
+
+
+_LOCAL_DIR: list[str] = []
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", "8"))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a local one only if unset."""
-    current = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            return configured
+        if not _LOCAL_DIR:
+            _LOCAL_DIR.append(tempfile.mkdtemp(prefix="adperf-ckpt-"))
+        return _LOCAL_DIR[0]
+    current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)

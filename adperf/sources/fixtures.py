@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adperf.session import scratch_path
+from adperf.session import default_parallelism, scratch_path
 from adperf.sources.scans import read_parquet
 
 # Anchor day, test windows and excluded days of the fixtures.
@@ -48,11 +48,11 @@ def stored(fn):
     def wrapper(self):
         if not self.store:
             return fn(self)
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        key = (self.spark.conf.get("spark.app.id", "app"), self.sf_dir, name)
         path = _STORED.get(key)
         if path is None:
             df = fn(self)
-            parts = self.spark.sparkContext.defaultParallelism
+            parts = default_parallelism(self.spark)
             # at least one file per core, spread by a row hash (AQE may have coalesced small outputs)
             df = df.repartition(parts, F.xxhash64(*df.columns))
             day = DAY_COLUMN.get(name)

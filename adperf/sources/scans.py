@@ -36,8 +36,13 @@ def read_parquet(spark, path: str, min_partitions: int | None = None) -> DataFra
     round-robin repartition needs); inputs with many row groups are left
     untouched (no extra shuffle).
     """
+    from adperf.session import default_parallelism
     df = spark.read.parquet(path)
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    target = min_partitions or default_parallelism(spark)
+    try:
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no RDD access: leave the scan as it is)
+        return df
+    if parts < target:
         df = df.repartition(target, F.xxhash64(*df.columns))
     return df
