@@ -124,7 +124,9 @@ def _likely(samples: int, top: int | None):
     """For rows (bucket, i, j, side, id, component, sketch) sorted by block pair: pairs in different components that the sketches say are alike."""
 
     def pairs(a: dict, b: dict, same: bool) -> tuple[np.ndarray, np.ndarray]:
-        xs, ys = [], []
+        xs, ys = [a["id"][:0]], [b["id"][:0]]
+        if not len(b["id"]):
+            return xs[0], ys[0]
         for r in range(0, len(a["id"]), 256):
             sl = slice(r, r + 256)
             differing = np.zeros((len(a["id"][sl]), len(b["id"])), np.int64)
