@@ -24,7 +24,7 @@ def cyclic_next(ids: DataFrame, col: str, ranges: int = RANGES) -> DataFrame:
     found = ids.agg(F.percentile_approx(col, [i / ranges for i in range(1, ranges)]).alias("cuts"), F.min(col).alias("least")).first()
     if found["least"] is None:
         return ids.withColumn("next", F.lit(None).cast("long"))
-    cuts = sorted(set(found["cuts"]))
+    cuts = sorted(set(found["cuts"] or []))
     dealt = ids.withColumn("range", id_range(F.col(col), cuts))
     firsts = dealt.groupBy("range").agg(F.min(col).alias("first"))
     after = firsts.select("range", F.lead("first").over(Window.orderBy("range")).alias("after"))
