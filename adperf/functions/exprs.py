@@ -85,11 +85,6 @@ def drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.where(cond) if cond is not None else df
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 5_000_000) -> DataFrame:
-    """Broadcast a dimension only after checking its row count; else leave the join to AQE."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def is_dst(day, tz: str = "America/Los_Angeles") -> bool:
     """Whether daylight saving time is in force at noon of ``day`` in ``tz`` (op B24)."""
     import datetime as _dt

@@ -2,8 +2,8 @@
 
 The experiment group is a left join against the group table (not a driver
 side set in a closure); the override and the reason record are native column
-expressions (no Python UDF); the row-count check is an ``Observation`` taken by
-the write itself, so publishing is one job instead of six recomputations.
+expressions (no Python UDF). A publish stages its rows, checks the count that
+the staging write observed, and only then swaps them in.
 """
 
 from __future__ import annotations
@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from adperf.functions.exprs import AD_KEY
 from adperf.operators.evaluate import composite_rpc
 from adperf.operators.ordering import dedup_first
+from adperf.session import drop_path, scratch_path
 
 PRED_KEY = ["ad_id", "is_mobile", "division"]
 
@@ -71,19 +71,22 @@ def modified_count(df: DataFrame, old: str = "old_adjusted_rpc", new: str = "adj
 
 def publish_dynamic(df: DataFrame, path: str, partition_cols: list[str], expected_rows: DataFrame | None = None,
                     fmt: str = "parquet") -> dict:
-    """Overwrite only the partitions present in ``df`` (ops A7, I2).
+    """Overwrite only the partitions present in ``df``, after its row count has been checked (ops A7, I2).
 
-    Returns the row counts observed by the write job itself; when
-    ``expected_rows`` is given its count is observed in the same job and the
-    publish fails if they differ (the source's row-count assertion).
+    The rows are first written to a staging table in the shared folder, which
+    observes their count in the same job. If ``expected_rows`` is given and its
+    count differs, nothing is published. Then the staged rows replace the
+    partitions (``df`` may have read them), and the staging table goes.
     """
-    obs = Observation("publish")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).format(fmt).save(path))
+    spark = df.sparkSession
+    staging, obs = scratch_path(spark, "publish"), Observation("publish")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(staging)
     got = obs.get
-    if expected_rows is not None:
-        want = expected_rows.count()
-        if want != got["rows"]:
-            raise ValueError(f"published {got['rows']} rows, expected {want}")
+    try:
+        if expected_rows is not None and (want := expected_rows.count()) != got["rows"]:
+            raise ValueError(f"{got['rows']} rows to publish, expected {want}")
+        (spark.read.schema(df.schema).parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_cols).format(fmt).save(path))
+    finally:
+        drop_path(spark, staging)
     return got

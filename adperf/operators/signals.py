@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adperf.functions.exprs import (AD_KEY, OFFER_KEY, ad_item, brand_norm, checked_broadcast, first_of,
+from adperf.functions.exprs import (AD_KEY, OFFER_KEY, ad_item, brand_norm, first_of,
                                     flag, nested_value, not_sentinel, ratio, scrub_tabs)
 from adperf.functions.metrics import base_measures, metric_pack
 from adperf.functions.windows import DayWindow, as_date, effective_days, window_filter
@@ -156,17 +156,14 @@ def product_events(products_nested: DataFrame, *, anchor: str, window: DayWindow
             .distinct())
 
 
-def seller_map_join(product_events_df: DataFrame, item_dim: DataFrame, broadcast_rows: int | None = None) -> DataFrame:
+def seller_map_join(product_events_df: DataFrame, item_dim: DataFrame) -> DataFrame:
     """Map sellers (inner) and products to items (left) (ops C4, C5).
 
-    The seller map is one row per seller. By default the broadcast decision is
-    AQE's, made on the map's measured size at run time (no eager count);
-    ``broadcast_rows`` forces an explicit row-count check and hint instead.
+    The seller map is one row per seller. The broadcast decision is AQE's, made
+    on the map's measured size at run time.
     """
     snap = latest_snapshot(item_dim, "ts")
     sellers = snap.select("seller_id", "us_seller_id").distinct()
-    if broadcast_rows is not None:
-        sellers = checked_broadcast(sellers, broadcast_rows)
     items = snap.select("product_id", "item_id").distinct()
     return (product_events_df.join(sellers, "seller_id", "inner")
             .join(items, "product_id", "left")
@@ -190,6 +187,22 @@ def event_counts(events: DataFrame, keys: list[str]) -> DataFrame:
                                      F.nullif(carts, F.lit(0)).alias("total_add_to_carts"))
 
 
+def session_event_counts(page: DataFrame, mapped_products: DataFrame) -> DataFrame:
+    """``event_counts`` of ``session_seller_join`` without its rows (ops C6, D6).
+
+    Both sides are counted per session before they meet, so a robot session
+    joins its distinct items with its distinct sellers, not its events with its
+    product rows; each pair stands for the product of the two counts.
+    """
+    session = ["session_id", "dt", "action"]
+    items = page.groupBy(*session, "item_id").agg(F.count(F.lit(1)).alias("_n"))
+    sellers = mapped_products.groupBy(*session, F.col("us_seller_id").alias("seller_id")).agg(F.count(F.lit(1)).alias("_m"))
+    rows = F.col("_n") * F.coalesce("_m", F.lit(1))
+    counted = lambda action: F.nullif(F.sum(F.when(F.col("action") == action, rows).otherwise(0)), F.lit(0))
+    return (items.join(sellers, session, "left").groupBy(*OFFER_KEY)
+            .agg(counted("pageView").alias("total_page_views"), counted("addToCart").alias("total_add_to_carts")))
+
+
 def order_rollup(order_auth: DataFrame, order_items: DataFrame | None, *, anchor: str,
                  window: DayWindow, excluded=(), by_seller: bool = True) -> DataFrame:
     """Sum per (item[, seller], order), then count orders and sum (ops C27, D8).
@@ -228,8 +241,7 @@ def site_offer(universe: DataFrame, events_nested: DataFrame, products_nested: D
     page = page_events(events_nested, anchor=anchor, window=window, excluded=excluded)
     mapped = seller_map_join(product_events(products_nested, anchor=anchor, window=window, excluded=excluded),
                              item_dim)
-    joined = session_seller_join(page, mapped).withColumnRenamed("us_seller_id", "seller_id")
-    counts = event_counts(joined, OFFER_KEY)
+    counts = session_event_counts(page, mapped)
     orders = order_rollup(order_auth, order_items, anchor=anchor, window=window, excluded=excluded)
     j = offers(universe).join(counts, OFFER_KEY, "left").join(orders, OFFER_KEY, "left")
     return _site_metrics(j, OFFER_KEY)
@@ -266,11 +278,13 @@ def session_flags(session_stats: DataFrame, *, anchor: str, window: DayWindow, e
             .distinct())
 
 
-def _bounce_aggs() -> list[Column]:
-    return [F.sum("num_bounces").alias("bounces"), F.sum("num_visits").alias("visits"),
-            F.sum("num_sem_visits").alias("sem_visits"), F.sum("num_sem_bounces").alias("sem_bounces"),
-            ratio(F.sum("num_bounces"), F.sum("num_visits")).alias("bounce_rate"),
-            ratio(F.sum("num_sem_bounces"), F.sum("num_sem_visits")).alias("sem_bounce_rate")]
+def _bounce_aggs(times: Column | None = None) -> list[Column]:
+    """Bounce sums and rates; ``times`` is how many rows a row stands for."""
+    total = lambda c: F.sum(F.col(c) if times is None else F.col(c) * times)
+    return [total("num_bounces").alias("bounces"), total("num_visits").alias("visits"),
+            total("num_sem_visits").alias("sem_visits"), total("num_sem_bounces").alias("sem_bounces"),
+            ratio(total("num_bounces"), total("num_visits")).alias("bounce_rate"),
+            ratio(total("num_sem_bounces"), total("num_sem_visits")).alias("sem_bounce_rate")]
 
 
 def bounce_offer(universe: DataFrame, session_stats: DataFrame, products_nested: DataFrame, item_dim: DataFrame,
@@ -279,8 +293,10 @@ def bounce_offer(universe: DataFrame, session_stats: DataFrame, products_nested:
     l3 = session_flags(session_stats, anchor=anchor, window=window, excluded=excluded)
     mapped = seller_map_join(product_events(products_nested, anchor=anchor, window=window, excluded=excluded),
                              item_dim).select("session_id", "item_id", F.col("us_seller_id").alias("seller_id"))
-    sess = l3.join(mapped, "session_id", "left")
-    agg = sess.where(F.col("item_id").isNotNull() & F.col("seller_id").isNotNull()).groupBy(*OFFER_KEY).agg(*_bounce_aggs())
+    # A session's product rows are counted per offer first, so a robot session does not multiply.
+    mapped = mapped.where(F.col("item_id").isNotNull() & F.col("seller_id").isNotNull())
+    per_offer = mapped.groupBy("session_id", *OFFER_KEY).agg(F.count(F.lit(1)).alias("_m"))
+    agg = l3.join(per_offer, "session_id").groupBy(*OFFER_KEY).agg(*_bounce_aggs(F.col("_m")))
     return offers(universe).join(agg, OFFER_KEY, "left")
 
 

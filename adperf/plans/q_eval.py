@@ -309,7 +309,6 @@ from mf join cuts on true where sem_clicks_w1 is not null group by all""", float
 # D24 ---------------------------------------------------------------------------
 @register("histogram")
 def q_histogram(spark, sf):
-    mf = model_frame(tables(spark, sf))
     return finalize(V.histogram(stored_model_frame(tables(spark, sf)), "sem_rpc_seller_w1", 100))
 
 
@@ -325,13 +324,14 @@ SUMMARY_COLS = ["sem_clicks_w1", "sem_rpc_seller_w1", "sem_convrt_seller_l"]
 
 @register("numeric_summary")
 def q_numeric_summary(spark, sf):
-    return finalize(V.numeric_summary(model_frame(tables(spark, sf)), SUMMARY_COLS))
+    return finalize(V.numeric_summary(model_frame(tables(spark, sf)), SUMMARY_COLS, quartiles=True))
 
 
 SQL["numeric_summary"] = mf_with("\n" + " union all ".join(
     f"select '{x}' as column, count({x}) as count, avg({x}) as mean, stddev_samp({x}) as std, "
-    f"cast(min({x}) as double) as min, cast(max({x}) as double) as max from mf" for x in SUMMARY_COLS),
-    floats=["mean", "std", "min", "max"])
+    f"cast(min({x}) as double) as min, cast(max({x}) as double) as max, " + ", ".join(
+        f"cast(quantile_cont({x}, {q}) as double) as {name}" for name, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))) + " from mf"
+    for x in SUMMARY_COLS), floats=["mean", "std", "min", "max", "q25", "q50", "q75"])
 
 
 # D26 ---------------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from adperf.functions.windows import DayWindow, as_date
 from adperf.plans.params import ANCHOR, EXCLUDED
+from adperf.sources.fixtures import ATTRIBUTED_MEASURES, CAMPAIGN
 
 # Adapter SQL over the test tables (FIXTURES.md §2), valid in DuckDB.
 FIXTURE_SQL: dict[str, str] = {
@@ -15,17 +16,18 @@ FIXTURE_SQL: dict[str, str] = {
   l_extendedprice * l_tax as adspend, cast(l_linenumber as double) as qty,
   cast(l_linenumber % 3 as double) as orders,
   l_extendedprice * (1 - l_discount) as gmv, l_extendedprice * l_discount as cost,
-  l_extendedprice * l_tax * 0.5 as estimated_cp
+  l_extendedprice * l_tax * 0.5 as estimated_cp, case when l_linenumber = 5 then 0 else 1 end as is_pla,
+  case when l_partkey % 3 = 0 then 2 else 1 end as structure_version
 from lineitem""",
     "attributed_14d": """select ad_id, source_id, is_mobile, ds as ad_date, orders as orders_brand,
   case when qty > 3 then orders else 0 end as orders_seller,
-  gmv * 0.5 as gmv_brand, gmv * 0.25 as gmv_seller
+  gmv * 0.5 as gmv_brand, gmv * 0.25 as gmv_seller, is_pla, structure_version
 from traffic_daily where qty <= 5""",
     "offer_xref": """select distinct ad_id, split_part(ad_id, '_', 1) as item_id, seller_id
 from traffic_daily where cast(split_part(ad_id, '_', 1) as int) % 7 <> 0""",
     "ad_hierarchy_daily": """select t.ad_id, t.ds, p_type as division_id, p_brand as department_id,
   cast(p_size as varchar) as category_id,
-  t.clicks / 50 as impression_share, t.qty / 7 as click_share
+  t.clicks / 50 as impression_share, t.qty / 7 as click_share, t.source_id, t.is_mobile, t.is_pla, t.structure_version
 from traffic_daily t join part on p_partkey = cast(split_part(t.ad_id, '_', 1) as bigint)""",
     "item_dim": """select d.ts, cast(p_partkey as varchar) as item_id, concat('P', cast(p_partkey as varchar)) as product_id,
   concat(p_brand, '-', p_type) as brand, cast(p_partkey % 3 as varchar) as seller_id,
@@ -75,16 +77,18 @@ group by t.ad_id, t.source_id, t.is_mobile, p_type, p_brand""",
     "predictions": """select ad_id, is_mobile, division, (clicks_l2wk % 7) / 100 as pred_convrt, 10 + clicks_l2wk % 90 as pred_ordersize
 from bid_table where source_id = 2""",
     "ab_groups": """select distinct ad_id as adid, case when length(ad_id) % 2 = 0 then '1' else '0' end as grp from bid_table""",
-    "item_text": """select doc_id as item_id, substr(text, 1, 120) as item_name, text as item_short_desc from documents""",
+    "item_text": """select doc_id as item_id, concat_ws(' ', lang, source) as item_name, text as item_short_desc from documents""",
     "channel_params": """select 1 as customer_id, '^2{9}[0-9]+$' as id_regex, 10 as channel_pos, 10 as adid_length""",
     "ad_item_xref": """select cast(concat('80', cast(p_partkey as varchar)) as bigint) as legacy_id, cast(p_partkey as varchar) as item_id from part""",
-    "traffic_flat": """select ds as day, source_id, is_mobile, 1 as is_pla, ad_id, split_part(ad_id, '_', 1) as item_id, seller_id,
+    "traffic_flat": f"""select ds as day, source_id, is_mobile, is_pla, structure_version, {CAMPAIGN} as campaign, ad_id, split_part(ad_id, '_', 1) as item_id, seller_id,
   adspend, clicks, impressions, orders, gmv as revenue, concat('acct', seller_id) as account
 from traffic_daily""",
     "seller_accounts": """select distinct account, seller_id from traffic_flat where seller_id <> '0'""",
-    "attributed_gmv": """select split_part(ad_id, '_', 1) as item_id, split_part(ad_id, '_', 2) as seller_id, source_id, is_mobile, ad_date,
-  sum(gmv_brand) as gmv_brand, sum(gmv_seller) as gmv_seller, sum(orders_brand) as orders_brand, sum(orders_seller) as orders_seller
-from attributed_14d group by ad_id, source_id, is_mobile, ad_date""",
+    "attributed_gmv": f"""select split_part(ad_id, '_', 1) as item_id,
+  case when cast(split_part(ad_id, '_', 1) as int) % 11 <> 0 then split_part(ad_id, '_', 2) end as seller_id,
+  ad_id, source_id, is_mobile, is_pla, structure_version, case when {CAMPAIGN} = 'all' then 1 else 0 end as is_target_all, ad_date,
+  {', '.join(f'{e} as {m}' for m, e in ATTRIBUTED_MEASURES.items())}
+from attributed_14d group by ad_id, source_id, is_mobile, is_pla, structure_version, ad_date""",
 }
 
 FIXTURE_DEPS: dict[str, list[str]] = {

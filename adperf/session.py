@@ -45,45 +45,48 @@ def _context(spark: SparkSession):
         return None
 
 
-_LOCAL_DIR: list[str] = []
-
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-def default_parallelism(spark: SparkSession) -> int:
+    Only a local session may do without: it gets a folder of its own. On a
+    cluster executors would each write to their own disk, so that is an error.
+    """
     sc = _context(spark)
-    if sc is not None:
-        return sc.defaultParallelism
-    return int(spark.conf.get("spark.default.parallelism", "8"))
+    current = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        if sc is None or not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        current = tempfile.mkdtemp(prefix="adperf-ckpt-")
+        sc.setCheckpointDir(current)
+    return current
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a local one only if unset."""
-    sc = _context(spark)
-    if sc is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured:
-            return configured
-        if not _LOCAL_DIR:
-            _LOCAL_DIR.append(tempfile.mkdtemp(prefix="adperf-ckpt-"))
-        return _LOCAL_DIR[0]
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-    else:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="adperf-ckpt-"))
-    return spark.sparkContext.getCheckpointDir()
+_SCRATCH: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/adperf-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path under the shared folder for a written table; ``drop_scratch`` deletes it."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/adperf-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Deletes a written table through the file system that holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    if path in _SCRATCH:
+        _SCRATCH.remove(path)
+
+
+def drop_scratch(spark: SparkSession, keep: set[str] = frozenset()) -> None:
+    """Deletes the tables that queries of this process have written, once their results have been used."""
+    for path in [p for p in _SCRATCH if p not in keep]:
+        drop_path(spark, path)
 
 
 def materialize(df, name: str = "stage"):
-    """Cut lineage: write the frame as a Parquet table in the shared checkpoint folder and read it back.
+    """Cut lineage: write the frame as a Parquet table in the shared folder and read it back.
 
     Columnar and compressed (cheaper than an RDD checkpoint for wide frames),
     reliable storage, and later reads get column pruning and pushdown.

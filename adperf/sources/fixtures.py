@@ -12,20 +12,30 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adperf.session import default_parallelism, scratch_path
-from adperf.sources.scans import read_parquet
+from adperf.session import drop_path, scratch_path
 
 # Anchor day, test windows and excluded days of the fixtures.
 ANCHOR = "2001-06-30"
 EXCLUDED = ("2001-06-04", "2001-05-28")
 SNAPSHOTS = ("2001-06-01", "2001-06-29")
 
+# Source-4 ads of even items belong to the catch-all campaign (SQL of both engines).
+CAMPAIGN = "case when source_id = 4 and cast(split_part(ad_id, '_', 1) as int) % 2 = 0 then 'all' else 'std' end"
+
+# The 35 attributed measures: five families (value, value and lines after returns, lines, orders) for seven relations
+# of the bought line to the ad, each a fixed share of the test tables' columns.
+ATTRIBUTED_RELATIONS = ["item", "brand", "event", "seller_item", "seller_brand", "seller_event", "seller"]
+ATTRIBUTED_FAMILIES = {"gmv": "gmv_brand", "gmv_net": "gmv_seller", "lines": "orders_brand", "lines_net": "orders_seller",
+                       "orders": "orders_brand + orders_seller"}
+ATTRIBUTED_MEASURES = {f"{family}_{relation}": f"sum(({column}) * {(i + 1) / 8})"
+                       for family, column in ATTRIBUTED_FAMILIES.items() for i, relation in enumerate(ATTRIBUTED_RELATIONS)}
+
 
 def _s(c) -> F.Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
-# Stored adapters per (application, sf_dir, name): the test stand-ins for warehouse tables.
+# Adapters stored by ``TestTables.store`` per (application, sf_dir, name): stand-ins for warehouse tables.
 _STORED: dict[tuple[str, str, str], str] = {}
 
 # Day column of each stored adapter (rows are sorted by it inside each file, so
@@ -37,32 +47,12 @@ DAY_COLUMN = {"traffic_daily": "ds", "attributed_14d": "ad_date", "ad_hierarchy_
 
 
 def stored(fn):
-    """Derive the adapter once per session and sf folder, store it as Parquet, read it back.
-
-    The reference reads these as warehouse tables; storing the derived frame in
-    the shared checkpoint folder gives every query the same multi-file,
-    date-clustered input instead of re-deriving it from the raw tables.
-    """
+    """The stored table if ``TestTables.store`` has written one, else the adapter's lazy frame (no job runs here)."""
     name = fn.__name__
 
     def wrapper(self):
-        if not self.store:
-            return fn(self)
-        key = (self.spark.conf.get("spark.app.id", "app"), self.sf_dir, name)
-        path = _STORED.get(key)
-        if path is None:
-            df = fn(self)
-            parts = default_parallelism(self.spark)
-            # at least one file per core, spread by a row hash (AQE may have coalesced small outputs)
-            df = df.repartition(parts, F.xxhash64(*df.columns))
-            day = DAY_COLUMN.get(name)
-            if day:
-                # cluster each file by day so window predicates can skip row groups
-                df = df.sortWithinPartitions(day)
-            path = scratch_path(self.spark, f"table-{name}")
-            df.write.mode("overwrite").parquet(path)
-            _STORED[key] = path
-        return self.spark.read.parquet(path)
+        path = _STORED.get(self.key(name))
+        return fn(self) if path is None else self.spark.read.parquet(path)
 
     wrapper.__name__ = name
     wrapper.__doc__ = fn.__doc__
@@ -70,17 +60,38 @@ def stored(fn):
 
 
 class TestTables:
-    """Adapters over ``{sf_dir}/{table}.parquet``; stored once per session unless ``store=False``."""
+    """Lazy adapters over ``{sf_dir}/{table}.parquet``; ``store`` and ``drop`` keep some as tables between queries."""
 
     __test__ = False  # not a pytest class
 
-    def __init__(self, spark: SparkSession, sf_dir: str, store: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        self.store = store
+
+    def key(self, name: str) -> tuple[str, str, str]:
+        return self.spark.conf.get("spark.app.id", "app"), self.sf_dir, name
 
     def raw(self, name: str) -> DataFrame:
-        return read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    def store(self, names: list[str]) -> None:
+        """Writes adapters as tables in the shared folder, in order; later queries read them.
+
+        Files follow the data's size: the rebalance hint lets AQE cut them at its
+        advisory size, and small row groups let one file feed several tasks.
+        """
+        for name in names:
+            df = getattr(TestTables(self.spark, self.sf_dir), name).hint("rebalance")
+            if day := DAY_COLUMN.get(name):
+                df = df.sortWithinPartitions(day)
+            path = scratch_path(self.spark, f"table-{name}")
+            df.write.option("parquet.block.size", 8 << 20).parquet(path)
+            _STORED[self.key(name)] = path
+
+    def drop(self) -> None:
+        """Forgets and deletes the stored tables of this folder."""
+        for key in [k for k in _STORED if k[:2] == self.key("")[:2]]:
+            drop_path(self.spark, _STORED.pop(key))
 
     # ------------------------------------------------------------------ traffic
     @stored
@@ -101,6 +112,8 @@ class TestTables:
             (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("gmv"),
             (F.col("l_extendedprice") * F.col("l_discount")).alias("cost"),
             (F.col("l_extendedprice") * F.col("l_tax") * 0.5).alias("estimated_cp"),
+            F.when(F.col("l_linenumber") == 5, 0).otherwise(1).alias("is_pla"),
+            F.when(F.col("l_partkey") % 3 == 0, 2).otherwise(1).alias("structure_version"),
         )
 
     @stored
@@ -111,7 +124,7 @@ class TestTables:
             F.col("orders").alias("orders_brand"),
             F.when(F.col("qty") > 3, F.col("orders")).otherwise(0).alias("orders_seller"),
             (F.col("gmv") * 0.5).alias("gmv_brand"),
-            (F.col("gmv") * 0.25).alias("gmv_seller"),
+            (F.col("gmv") * 0.25).alias("gmv_seller"), "is_pla", "structure_version",
         )
 
     @stored
@@ -128,7 +141,8 @@ class TestTables:
         return t.join(part, part["p_partkey"] == key).select(
             t["ad_id"], t["ds"], F.col("p_type").alias("division_id"),
             F.col("p_brand").alias("department_id"), _s("p_size").alias("category_id"),
-            (t["clicks"] / 50).alias("impression_share"), (t["qty"] / 7).alias("click_share"))
+            (t["clicks"] / 50).alias("impression_share"), (t["qty"] / 7).alias("click_share"),
+            t["source_id"], t["is_mobile"], t["is_pla"], t["structure_version"])
 
     @stored
     def item_dim(self) -> DataFrame:
@@ -264,7 +278,8 @@ class TestTables:
     def traffic_flat(self) -> DataFrame:
         t = self.traffic_daily
         return t.select(
-            F.col("ds").alias("day"), "source_id", "is_mobile", F.lit(1).alias("is_pla"), "ad_id",
+            F.col("ds").alias("day"), "source_id", "is_mobile", "is_pla", "structure_version",
+            F.expr(CAMPAIGN).alias("campaign"), "ad_id",
             F.split_part("ad_id", F.lit("_"), F.lit(1)).alias("item_id"), "seller_id",
             "adspend", "clicks", "impressions", "orders", F.col("gmv").alias("revenue"),
             F.concat(F.lit("acct"), F.col("seller_id")).alias("account"))
@@ -274,7 +289,7 @@ class TestTables:
         """``traffic_flat`` with the measures in a struct and the account in a map."""
         f = self.traffic_flat
         return f.select(
-            "day", "source_id", "is_mobile", "is_pla", "ad_id",
+            "day", "source_id", "is_mobile", "is_pla", "structure_version", "campaign", "ad_id",
             F.struct("item_id", "seller_id", "adspend", "clicks", "impressions", "orders", "revenue").alias("payload"),
             F.create_map(F.lit("account"), F.col("account")).alias("attrs"))
 
@@ -284,13 +299,14 @@ class TestTables:
 
     @stored
     def attributed_gmv(self) -> DataFrame:
-        a = self.attributed_14d
-        return a.groupBy("ad_id", "source_id", "is_mobile", "ad_date").agg(
-            F.sum("gmv_brand").alias("gmv_brand"), F.sum("gmv_seller").alias("gmv_seller"),
-            F.sum("orders_brand").alias("orders_brand"), F.sum("orders_seller").alias("orders_seller"),
-        ).select(F.split_part("ad_id", F.lit("_"), F.lit(1)).alias("item_id"),
-                 F.split_part("ad_id", F.lit("_"), F.lit(2)).alias("seller_id"),
-                 "source_id", "is_mobile", "ad_date", "gmv_brand", "gmv_seller", "orders_brand", "orders_seller")
+        item = F.split_part("ad_id", F.lit("_"), F.lit(1))
+        return (self.attributed_14d.groupBy("ad_id", "source_id", "is_mobile", "is_pla", "structure_version", "ad_date")
+                .agg(*[F.expr(e).alias(m) for m, e in ATTRIBUTED_MEASURES.items()])
+                .select(item.alias("item_id"),
+                        F.when(item.cast("int") % 11 != 0, F.split_part("ad_id", F.lit("_"), F.lit(2))).alias("seller_id"),
+                        "ad_id", "source_id", "is_mobile", "is_pla", "structure_version",
+                        F.when(F.expr(CAMPAIGN) == "all", 1).otherwise(0).alias("is_target_all"), "ad_date",
+                        *ATTRIBUTED_MEASURES))
 
     # ----------------------------------------------------------------- publish
     @stored
@@ -322,5 +338,5 @@ class TestTables:
     @stored
     def item_text(self) -> DataFrame:
         d = self.raw("documents")
-        return d.select(F.col("doc_id").alias("item_id"), F.substring("text", 1, 120).alias("item_name"),
+        return d.select(F.col("doc_id").alias("item_id"), F.concat_ws(" ", "lang", "source").alias("item_name"),
                         F.col("text").alias("item_short_desc"))

@@ -24,25 +24,3 @@ def window_scan(df: DataFrame, day_col: str, anchor: str, window: DayWindow,
     """Rows whose day falls in the window, minus excluded days (op A2)."""
     return df.where(window_filter(day_col, anchor, window, excluded))
 
-
-def read_parquet(spark, path: str, min_partitions: int | None = None) -> DataFrame:
-    """Parquet scan that keeps every core busy.
-
-    A file with a single row group is read by a single task, and all narrow
-    work above the scan (expressions, filters, partial aggregates) inherits
-    that one task. When the scan yields fewer input partitions than the
-    cluster's default parallelism, spread the rows once by a hash of the whole
-    row (even for skewed keys, deterministic on retry, and without the sort a
-    round-robin repartition needs); inputs with many row groups are left
-    untouched (no extra shuffle).
-    """
-    from adperf.session import default_parallelism
-    df = spark.read.parquet(path)
-    target = min_partitions or default_parallelism(spark)
-    try:
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (no RDD access: leave the scan as it is)
-        return df
-    if parts < target:
-        df = df.repartition(target, F.xxhash64(*df.columns))
-    return df

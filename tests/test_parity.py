@@ -62,34 +62,32 @@ def test_multi_anchor_equals_per_anchor(spark):
 
 
 def test_split_or_join_equals_literal_or_join(spark):
-    spend = spark.createDataFrame(
-        [("i1", "s1", "d", 2, 0, 1, 0, 10.0, 5.0, 50.0, 1.0, 9.0, 0.1, 0.2),
-         ("i2", None, "d", 4, 0, 1, 1, 8.0, 4.0, 40.0, None, None, None, None),
-         ("i3", "s3", "d", 4, 1, 1, 1, 6.0, 3.0, 30.0, None, None, None, None)],
-        "item_id string, seller_id string, day string, source_id int, is_mobile int, is_pla int, is_target_all int, "
-        "adspend double, clicks double, impressions double, orders double, gmv double, impression_share double, "
-        "click_share double")
-    revenue = spark.createDataFrame(
-        [("i1", "s1", 2, 0, "d", 1.0, 2.0, 3.0, 4.0), ("i1", "s9", 2, 0, "d", 1.0, 1.0, 1.0, 1.0),
-         ("i2", "a", 4, 0, "d", 2.0, 2.0, 2.0, 2.0), ("i2", "b", 4, 0, "d", 3.0, 3.0, 3.0, 3.0)],
-        "item_id string, seller_id string, source_id int, is_mobile int, day string, gmv_brand double, "
-        "gmv_seller double, orders_brand double, orders_seller double")
-    brands = spark.createDataFrame([("i1", "b1")], "item_id string, brand string")
-    got = R.spend_revenue_report(spend, revenue, brands)
-    # literal form: full outer on (keys) and (seller equal or source = 4), spend split over sellers of the item key
-    n = R.even_split(revenue).alias("r")
-    s = spend.alias("s")
-    k = ["item_id", "day", "source_id", "is_mobile"]
-    cond = None
-    for c in k:
-        e = F.col(f"s.{c}") == F.col(f"r.{c}")
-        cond = e if cond is None else cond & e
-    cond = cond & ((F.col("s.seller_id") == F.col("r.seller_id")) | (F.coalesce(F.col("s.source_id"), F.col("r.source_id")) == 4))
-    lit = s.join(n, cond, "full").select(
-        F.coalesce("s.item_id", "r.item_id").alias("item_id"), F.coalesce("r.seller_id", "s.seller_id").alias("seller_id"),
-        F.coalesce("s.source_id", "r.source_id").alias("source_id"),
-        F.when(F.coalesce("s.source_id", "r.source_id") == 4, F.try_divide("s.adspend", F.coalesce("r.num_sellers", F.lit(1))))
-        .otherwise(F.col("s.adspend")).alias("adspend"), F.col("r.gmv_brand").alias("gmv_brand"))
-    a = sorted((r.item_id, r.seller_id, r.source_id, r.adspend, r.gmv_brand) for r in got.collect())
-    b = sorted((r.item_id, r.seller_id, r.source_id, r.adspend or 0.0, r.gmv_brand or 0.0) for r in lit.collect())
-    assert a == b
+    """Sellers null or not, source 4 or not, rows that differ in is_pla and is_target_all only, and rows without a partner."""
+    measures = [*R.SPEND, *R.SHARES]
+    spend = [("i1", "s1", "d", 2, 0, 1, 0), ("i2", None, "d", 4, 0, 1, 1), ("i3", "s3", "d", 4, 1, 1, 1), ("i5", None, "d", 2, 0, 1, 0),
+             ("i6", "s1", "d", 4, 0, 0, 0), ("i6", "s1", "d", 4, 0, 1, 0), ("i6", "s1", "d", 4, 0, 1, 1), ("i7", "s1", "d", 2, 0, 0, 0)]
+    revenue = [("i1", "s1", "d", 2, 0, 1, 0), ("i1", "s9", "d", 2, 0, 1, 0), ("i2", "a", "d", 4, 0, 1, 1), ("i2", "b", "d", 4, 0, 1, 1),
+               ("i5", "0", "d", 2, 0, 1, 0), ("i6", "s1", "d", 4, 0, 1, 0), ("i6", None, "d", 4, 0, 1, 0), ("i7", "s1", "d", 2, 0, 1, 0)]
+    key = "item_id string, seller_id string, day string, source_id int, is_mobile int, is_pla int, is_target_all int"
+    sdf = spark.createDataFrame([(*r, *[100.0 + 10 * i + j for j in range(len(measures))]) for i, r in enumerate(spend)],
+                                key + "".join(f", {m} double" for m in measures))
+    rdf = spark.createDataFrame([(*r, *[1.0 + i + j / 64 for j in range(len(R.REVENUE))]) for i, r in enumerate(revenue)],
+                                key + "".join(f", {m} double" for m in R.REVENUE))
+    s, r = sdf.collect(), rdf.collect()
+    same = lambda a, b: all(a[k] == b[k] for k in R.ITEM_KEY)
+    want, met = [], set()
+
+    def row(a, b):
+        n = sum(same(b, x) for x in r) if a and b and a.source_id == 4 else 1
+        first = a or b
+        seller = (a.seller_id if a else None) or (b.seller_id if b else None) or "0"
+        return (*[first[k] for k in R.ITEM_KEY], seller, *[a[m] / n if a else 0.0 for m in R.SPEND], *[a[m] if a else 0.0 for m in R.SHARES],
+                *[b[m] if b else 0.0 for m in R.REVENUE])
+
+    for a in s:
+        found = [b for b in r if same(a, b) and ((a.seller_id or "0") == (b.seller_id or "0") or a.source_id == 4)]
+        met.update(found)
+        want += [row(a, b) for b in found] or [row(a, None)]
+    want += [row(None, b) for b in r if b not in met]
+    got = R.first_structure_report(sdf, rdf).select(*R.ITEM_KEY, "seller_id", *R.SPEND, *R.SHARES, *R.REVENUE)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
