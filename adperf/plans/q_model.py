@@ -84,14 +84,17 @@ select ad_id, item_id, item_name, cast(length(item_short_desc) as int) as desc_c
 @register("tfidf_terms")
 def q_tfidf_terms(spark, sf):
     docs = tables(spark, sf).item_text
-    return finalize(X.term_document_frequency(docs, "item_id", "item_short_desc", min_df=2))
+    return finalize(X.term_document_frequency(docs, "item_id", "item_short_desc"))
 
 
 SQL["tfidf_terms"] = final(f"""with {fixtures('item_text')},
-t as (select distinct item_id, unnest(string_split_regex(item_short_desc, '{X.TOKEN_SPLIT}')) as term from item_text),
+w as (select item_id, list_filter(string_split_regex(strip_accents(lower(coalesce(item_short_desc, ''))), '{X.TOKEN_SPLIT}'),
+  lambda t: length(t) >= {X.TOKEN_CHARS}) as w from item_text),
+g as (select item_id, list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+  list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) as t from w),
+t as (select distinct item_id, unnest(t) as term from g),
 n as (select count(*) as n from item_text)
-select term, count(*) as df, ln(((select n from n) + 1) / (count(*) + 1)) as idf from t where length(term) > 0
-group by term having count(*) >= 2""", floats=["idf"])
+select term, count(*) as df, ln(((select n from n) + 1) / (count(*) + 1)) + 1 as idf from t group by term""", floats=["idf"])
 
 
 # H7 ----------------------------------------------------------------------------
@@ -142,10 +145,30 @@ def q_fm_regression(spark, sf):
     return finalize(M.fm_regression(mf, AD_KEY, ["department_id", "division_id", "category_id"], "sem_rpc_seller_w1"))
 
 
-# H6 ----------------------------------------------------------------------------
+# H6 / C26 ----------------------------------------------------------------------
+TEXTS = [("item_name", "title_svd", 32), ("item_short_desc", "desc_svd", 64)]
+
+
+def _text_features(spark, sf):
+    """Both texts' models, fitted once, written and used to score the items."""
+    from pyspark.ml.feature import StopWordsRemover
+
+    docs = tables(spark, sf).item_text
+    stop = StopWordsRemover.loadDefaultStopWords("english")
+    out = docs.select("item_id")
+    for column, prefix, k in TEXTS:
+        model = materialize(X.fit_text_model(docs, "item_id", column, k, stop_words=stop), f"text-{column}")
+        out = out.join(X.text_features(docs, "item_id", column, model, k, prefix, stop_words=stop), "item_id")
+    return out
+
+
 @register("text_svd")
 def q_text_svd(spark, sf):
-    docs = tables(spark, sf).item_text
-    title = X.tfidf_svd(docs, "item_id", "item_name", k=32, prefix="title_svd")
-    desc = X.tfidf_svd(docs, "item_id", "item_short_desc", k=64, prefix="desc_svd", ngrams=2)
-    return finalize(title.join(desc, "item_id", "inner"))
+    return finalize(_text_features(spark, sf))
+
+
+@register("text_model_frame")
+def q_text_model_frame(spark, sf):
+    """The model frame with its items' text features (left join, as the source merges them)."""
+    features = _text_features(spark, sf).withColumn("item_id", F.col("item_id").cast("string"))
+    return finalize(model_frame(tables(spark, sf)).join(features, "item_id", "left"))
