@@ -7,16 +7,16 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from adperf.functions.exprs import AD_KEY, local_day_exact, local_day_fixed
-from adperf.functions.windows import as_date
+from adperf.functions.windows import as_date, effective_days
 from adperf.operators import evaluate as V
 from adperf.operators import model as M
 from adperf.operators import text as X
 from adperf.operators.features import multi_anchor_sums
 from adperf.plans.common import UNIVERSE_FIXTURES, tables, universe, universe_sql
 from adperf.plans.finalize import finalize
-from adperf.plans.params import ANCHOR, EXCLUDED, W1
+from adperf.plans.params import ANCHOR, EXCLUDED, LABEL, W1
 from adperf.plans.q_eval import model_frame, stored_model_frame
-from adperf.session import materialize
+from adperf.session import materialize, scratch_path
 from adperf.plans.sqlkit import d, final, fixtures, win
 
 Q: dict = {}
@@ -119,30 +119,64 @@ GBT_FEATURES = [f"sem_{m}_{w}" for w in ("w1", "w2", "v2")
                 for m in ("clicks", "impressions", "adspend", "cpc", "ctr", "convrt_seller", "ordersize_seller", "rpc_seller")]
 
 
-def _mf_folds(T):
-    # Each fold's fit reads the frame again: store it once with its folds.
-    return materialize(V.fold_assign(model_frame(T), AD_KEY, 5))
+# The six models: conversion rate, order size and revenue per click, by brand and by seller, each weighted by what it is measured on.
+# Order sizes are learned from ads of three orders or more in the label window (its columns are means a day).
+LABEL_DAYS = effective_days(ANCHOR, LABEL, EXCLUDED)
+SPECS = [M.ModelSpec(f"{kind}_{who}", f"sem_{kind}_{who}_l", weight.format(who), f"source_id = 2 and sem_{kind}_{who}_l between 0 and {most}",
+                     f"sem_orders_{who}_l * {LABEL_DAYS} >= 3" if kind == "ordersize" else "true")
+         for who in ("brand", "seller")
+         for kind, weight, most in (("convrt", "sem_clicks_l", 0.3), ("ordersize", "sem_orders_{}_l", 500), ("rpc", "sem_clicks_l", 100))]
+GBT = dict(max_iter=20, max_depth=5)
+_TRAINED: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def _trained(spark, sf):
+    """The model frame with folds and the path of the six saved models, trained once per session and folder."""
+    key = (spark.conf.get("spark.app.id", "app"), sf)
+    if key not in _TRAINED:
+        frame, models = scratch_path(spark, "model-frame"), scratch_path(spark, "models")
+        V.fold_assign(model_frame(tables(spark, sf)), AD_KEY, 5).write.parquet(frame)
+        M.train_models(spark.read.parquet(frame), SPECS, GBT_FEATURES, models, **GBT)
+        _TRAINED[key] = frame, models
+    frame, models = _TRAINED[key]
+    return spark.read.parquet(frame), models
 
 
 @register("gbt_oof")
 def q_gbt_oof(spark, sf):
-    mf = _mf_folds(tables(spark, sf))
-    return finalize(M.gbt_oof(mf, AD_KEY, GBT_FEATURES, "sem_convrt_seller_l", "sem_clicks_l",
-                              V.target_filter("convrt", "seller"), max_iter=10, max_depth=4))
+    """Out-of-fold predictions of all six models, one row per ad that any of them learned from."""
+    mf, models = _trained(spark, sf)
+    out = None
+    for spec in SPECS:
+        part = M.out_of_fold(mf, spec, AD_KEY, GBT_FEATURES, models)
+        out = part if out is None else out.join(part, AD_KEY, "full")
+    return finalize(out)
 
 
 @register("kfold_score")
 def q_kfold_score(spark, sf):
-    mf = _mf_folds(tables(spark, sf))
-    return finalize(M.kfold_score(mf, mf, AD_KEY, GBT_FEATURES, "sem_ordersize_seller_l", "sem_orders_seller_l",
-                                  V.target_filter("ordersize", "seller"), max_iter=10, max_depth=4))
+    mf, models = _trained(spark, sf)
+    return finalize(M.kfold_score(mf, SPECS, AD_KEY, GBT_FEATURES, models))
+
+
+# H10 ---------------------------------------------------------------------------
+@register("model_eval_table")
+def q_model_eval_table(spark, sf):
+    """Weighted errors of every model's out-of-fold predictions, and of last window's value, by target."""
+    mf, models = _trained(spark, sf)
+    pairs = []
+    for spec in SPECS:
+        mf = mf.join(M.out_of_fold(mf, spec, AD_KEY, GBT_FEATURES, models), AD_KEY, "left")
+        pairs += [(spec.name, "gbt", spec.target, f"oof_{spec.name}", spec.weight),
+                  (spec.name, "last_window", spec.target, f"{spec.target.removesuffix('_l')}_w1", spec.weight)]
+    return finalize(V.eval_table(mf, pairs))
 
 
 # H9 ----------------------------------------------------------------------------
 @register("fm_regression")
 def q_fm_regression(spark, sf):
     mf = stored_model_frame(tables(spark, sf))
-    return finalize(M.fm_regression(mf, AD_KEY, ["department_id", "division_id", "category_id"], "sem_rpc_seller_w1"))
+    return finalize(M.fm_regression(mf, AD_KEY, ["department_id", "division_id", "category_id"], "sem_rpc_seller_l"))
 
 
 # H6 / C26 ----------------------------------------------------------------------

@@ -79,6 +79,12 @@ def drop_path(spark: SparkSession, path: str) -> None:
         _SCRATCH.remove(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on the file system that would hold it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def drop_scratch(spark: SparkSession, keep: set[str] = frozenset()) -> None:
     """Deletes the tables that queries of this process have written, once their results have been used."""
     for path in [p for p in _SCRATCH if p not in keep]:

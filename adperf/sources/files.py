@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -37,3 +38,12 @@ def stage_partitioned(df: DataFrame, path: str, partition_cols: list[str], appen
 def csv_write(df: DataFrame, path: str) -> None:
     """Header CSV sink (op A8)."""
     df.write.mode("overwrite").option("header", True).csv(path)
+
+
+def read_signal(spark: SparkSession, path: str, snapshot: str, signal: str, windows: list[str], columns: list[str]) -> DataFrame:
+    """Rows of one signal, snapshot day and some windows of a dataset partitioned by those three (op A5).
+
+    The conditions are on partition columns, so only those folders are listed and read.
+    """
+    rows = spark.read.parquet(path).where((F.col("snapshot_date") == F.lit(snapshot).cast("date")) & (F.col("signal") == signal) & F.col("window").isin(windows))
+    return rows.select("snapshot_date", "window", *columns)
