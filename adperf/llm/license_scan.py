@@ -88,9 +88,30 @@ def signature_rules() -> list[Rule]:
 CORE, MARGIN = 4096, 400
 
 
+def _lower(text: Column) -> Column:
+    """A-Z in lower case; other letters may be too, which stay characters of words.
+
+    Only two other letters become ASCII ones in lower case; texts with them take the slower way.
+    """
+    odd = text.contains("\u212a") | text.contains("\u0130")
+    return F.when(odd, ascii_lower(text)).otherwise(F.lower(text))
+
+
+def any_of(words: list[str]) -> str:
+    """A regular expression of some words as a tree of their letters, so that a mismatch shows at the first letter."""
+    if "" in words:
+        rest = any_of([w for w in words if w])
+        return f"(?:{rest})?" if rest else ""
+    heads: dict[str, list[str]] = {}
+    for w in words:
+        heads.setdefault(w[0], []).append(w[1:])
+    parts = [head + any_of(tails) for head, tails in sorted(heads.items())]
+    return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})" if parts else ""
+
+
 def joined_words(text: Column) -> Column:
     """The words joined by single spaces, with a space before and behind; a single space if there are none."""
-    inner = F.trim(F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), NO_WORD, " "))
+    inner = F.trim(F.regexp_replace(_lower(F.coalesce(text, F.lit(""))), NO_WORD, " "))
     return F.when(inner == "", F.lit(" ")).otherwise(F.concat(F.lit(" "), inner, F.lit(" ")))
 
 
@@ -130,21 +151,31 @@ def _spans(part: Column, rule: Column) -> Column:
     return F.aggregate(pairs, start, step, lambda s: s["found"])
 
 
+def _let(value: Column, use) -> Column:
+    """use(value) with the value computed once: a lambda's argument is, an expression used twice is not."""
+    return F.transform(F.array(value), use)[0]
+
+
 def detections(joined: Column, rules: list[Rule]) -> Column:
     """Array of (rank, label) of the detections that none of a better rank, or longer one of the same rank, contains."""
     table = F.array(*[F.struct(F.lit(r.label).alias("label"), F.lit(r.rank).alias("rank"), F.lit(f" {r.keyword} ").alias("keyword"), F.lit(r.pattern).alias("pattern")) for r in rules])
+    words = F.array(*[F.lit(f" {k} ") for k in sorted({r.keyword for r in rules})])
+
+    def kept(found: Column, left: Column) -> Column:
+        inside = lambda x, y: (y["start"] <= x["start"]) & (y["end"] >= x["end"]) & ((y["rank"] < x["rank"]) | ((y["rank"] == x["rank"]) & (y["end"] - y["start"] > x["end"] - x["start"])))
+        own = F.filter(found, lambda x: (x["start"] >= left) & (x["start"] < left + F.lit(CORE)) & ~F.exists(found, lambda y: inside(x, y)))
+        return F.transform(own, lambda x: F.struct(x["rank"].alias("rank"), x["label"].alias("label")))
 
     def part_at(offset: Column) -> Column:
         left = F.least(offset, F.lit(MARGIN))
         part = F.substring(joined, offset - left + 1, left + F.lit(CORE + MARGIN))
-        found = F.flatten(F.transform(F.filter(table, lambda r: F.contains(part, r["keyword"])), lambda r: _spans(part, r)))
-        # A struct holds the detections, so that they are computed once for the filter and its inner test.
-        return F.transform(F.array(found), lambda d: F.transform(F.filter(d, lambda x: (x["start"] >= left) & (x["start"] < left + F.lit(CORE)) & ~F.exists(d, lambda y: (y["start"] <= x["start"]) & (y["end"] >= x["end"]) & ((y["rank"] < x["rank"]) | ((y["rank"] == x["rank"]) & (y["end"] - y["start"] > x["end"] - x["start"]))))), lambda x: F.struct(x["rank"].alias("rank"), x["label"].alias("label"))))[0]
+        spans = lambda p, present: F.flatten(F.transform(F.filter(table, lambda r: F.array_contains(present, r["keyword"])), lambda r: _spans(p, r)))
+        return _let(part, lambda p: _let(F.filter(words, lambda k: F.contains(p, k)), lambda present: _let(spans(p, present), lambda found: kept(found, left))))
 
     offsets = F.sequence(F.lit(0), F.greatest(F.length(joined) - 1, F.lit(0)), F.lit(CORE))
-    keywords = "|".join(sorted({r.keyword for r in rules}))
+    keywords = any_of(sorted({r.keyword for r in rules}))
     none = F.array().cast("array<struct<rank:int,label:string>>")
-    return F.when(joined.rlike(rf" (?:{keywords}) "), F.array_distinct(F.flatten(F.transform(offsets, part_at)))).otherwise(none)
+    return F.when(joined.rlike(rf" {keywords} "), F.array_distinct(F.flatten(F.transform(offsets, part_at)))).otherwise(none)
 
 
 def license_scan(docs: DataFrame, rules: list[Rule] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
