@@ -17,7 +17,7 @@ from adperf.functions.metrics import base_measures, metric_pack
 from adperf.functions.windows import DayWindow, as_date, effective_days, window_filter
 from adperf.sources.scans import latest_snapshot
 
-HIERARCHY_COLS = ["division_id", "department_id", "category_id"]
+HIERARCHY_COLS = ["division_id", "super_department_id", "department_id", "category_id", "sub_category_id"]
 TRAFFIC_MEASURES = ["impressions", "clicks", "adspend", "qty", "cost", "estimated_cp"]
 ATTR_MEASURES = ["orders_brand", "orders_seller", "gmv_brand", "gmv_seller"]
 
@@ -107,7 +107,7 @@ def ad_signal_attr(universe: DataFrame, traffic: DataFrame, attributed: DataFram
 
 
 # -------------------------------------------------------------- catalog signal
-CATALOG_TEXT = ["division", "dept"]
+CATALOG_TEXT = ["division", "super_dept", "dept", "cat", "subcat", "seller_name", "brand_name"]
 CATALOG_VALUES = ["curr_item_price", "num_appr_reviews", "avg_overall_rating", "avg_cost"]
 
 

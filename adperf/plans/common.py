@@ -32,14 +32,12 @@ def universe_sql() -> str:
     u = win("ds", UNIVERSE, ())
     return f"""ads as (select distinct ad_id, source_id, is_mobile, seller_id as seller_traffic,
     split_part(ad_id, '_', 1) as item_parsed from traffic_daily where {u}),
-hier as (select ad_id, max({{'ds': ds, 'division_id': division_id, 'department_id': department_id,
-    'category_id': category_id}}) as hs from ad_hierarchy_daily where {u} group by ad_id),
+hier as (select ad_id, max({{'ds': ds, {', '.join(f"'{c}': {c}" for c in S.HIERARCHY_COLS)}}}) as hs from ad_hierarchy_daily where {u} group by ad_id),
 brands as (select item_id, max(lower(regexp_replace(brand, '[^0-9A-Za-z]', '', 'g'))) as brand
     from item_dim where ts = (select max(ts) from item_dim) group by item_id),
 universe as (select a.ad_id, a.source_id, a.is_mobile, coalesce(x.item_id, a.item_parsed) as item_id,
     coalesce(x.seller_id, a.seller_traffic) as seller_id, b.brand,
-    struct_extract(h.hs, 'division_id') as division_id, struct_extract(h.hs, 'department_id') as department_id,
-    struct_extract(h.hs, 'category_id') as category_id, v.id_unique_variant
+    {', '.join(f"struct_extract(h.hs, '{c}') as {c}" for c in S.HIERARCHY_COLS)}, v.id_unique_variant
   from ads a left join offer_xref x on a.ad_id = x.ad_id
   left join hier h on a.ad_id = h.ad_id
   left join brands b on b.item_id = coalesce(x.item_id, a.item_parsed)

@@ -25,8 +25,8 @@ from lineitem""",
 from traffic_daily where qty <= 5""",
     "offer_xref": """select distinct ad_id, split_part(ad_id, '_', 1) as item_id, seller_id
 from traffic_daily where cast(split_part(ad_id, '_', 1) as int) % 7 <> 0""",
-    "ad_hierarchy_daily": """select t.ad_id, t.ds, p_type as division_id, p_brand as department_id,
-  cast(p_size as varchar) as category_id,
+    "ad_hierarchy_daily": """select t.ad_id, t.ds, p_type as division_id, concat('S', p_brand) as super_department_id, p_brand as department_id,
+  cast(p_size as varchar) as category_id, concat(cast(p_size as varchar), '-', cast(p_partkey % 10 as varchar)) as sub_category_id,
   t.clicks / 50 as impression_share, t.qty / 7 as click_share, t.source_id, t.is_mobile, t.is_pla, t.structure_version
 from traffic_daily t join part on p_partkey = cast(split_part(t.ad_id, '_', 1) as bigint)""",
     "item_dim": """select d.ts, cast(p_partkey as varchar) as item_id, concat('P', cast(p_partkey as varchar)) as product_id,
@@ -36,7 +36,9 @@ from part cross join (select date '2001-06-01' as ts union all select date '2001
     "variant_map": """select cast(p_partkey as varchar) as item_id, cast(p_partkey - p_partkey % 4 as varchar) as id_unique_variant
 from part where p_partkey % 5 <> 0""",
     "catalog_snapshot": """select cast(l_shipdate as date) as ds, cast(l_partkey as varchar) as item_id,
-  cast(l_suppkey % 3 as varchar) as seller_id, p_type as division, p_brand as dept,
+  cast(l_suppkey % 3 as varchar) as seller_id, p_type as division, concat('S', p_brand) as super_dept, p_brand as dept,
+  cast(p_size as varchar) as cat, concat(cast(p_size as varchar), chr(9), '-', cast(p_partkey % 10 as varchar)) as subcat,
+  concat('seller ', cast(l_suppkey % 3 as varchar)) as seller_name, concat(p_brand, '-', p_type) as brand_name,
   l_extendedprice / l_quantity as curr_item_price, p_size as num_appr_reviews,
   cast(p_size % 5 as double) as avg_overall_rating, p_retailprice * 0.6 as avg_cost
 from lineitem join part on l_partkey = p_partkey""",

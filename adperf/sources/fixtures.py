@@ -140,7 +140,8 @@ class TestTables:
         key = F.split_part(t["ad_id"], F.lit("_"), F.lit(1)).cast("bigint")
         return t.join(part, part["p_partkey"] == key).select(
             t["ad_id"], t["ds"], F.col("p_type").alias("division_id"),
-            F.col("p_brand").alias("department_id"), _s("p_size").alias("category_id"),
+            F.concat(F.lit("S"), F.col("p_brand")).alias("super_department_id"), F.col("p_brand").alias("department_id"),
+            _s("p_size").alias("category_id"), F.concat(_s("p_size"), F.lit("-"), _s(F.col("p_partkey") % 10)).alias("sub_category_id"),
             (t["clicks"] / 50).alias("impression_share"), (t["qty"] / 7).alias("click_share"),
             t["source_id"], t["is_mobile"], t["is_pla"], t["structure_version"])
 
@@ -167,7 +168,9 @@ class TestTables:
         return li.join(part, li["l_partkey"] == part["p_partkey"]).select(
             F.col("l_shipdate").cast("date").alias("ds"), _s("l_partkey").alias("item_id"),
             _s(F.col("l_suppkey") % 3).alias("seller_id"),
-            F.col("p_type").alias("division"), F.col("p_brand").alias("dept"),
+            F.col("p_type").alias("division"), F.concat(F.lit("S"), F.col("p_brand")).alias("super_dept"), F.col("p_brand").alias("dept"),
+            _s("p_size").alias("cat"), F.concat(_s("p_size"), F.lit("\t-"), _s(F.col("p_partkey") % 10)).alias("subcat"),
+            F.concat(F.lit("seller "), _s(F.col("l_suppkey") % 3)).alias("seller_name"), F.concat(F.col("p_brand"), F.lit("-"), F.col("p_type")).alias("brand_name"),
             (F.col("l_extendedprice") / F.col("l_quantity")).alias("curr_item_price"),
             F.col("p_size").alias("num_appr_reviews"),
             (F.col("p_size") % 5).cast("double").alias("avg_overall_rating"),

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from adperf.operators import attribution as A
@@ -79,3 +80,20 @@ def test_publish_touches_only_present_partitions(spark):
     back = spark.read.parquet(path)
     assert back.where("ds = 'd1'").agg(F.sum("adjusted_rpc")).collect()[0][0] == 10.0
     assert back.where("ds = 'd2'").agg(F.sum("adjusted_rpc")).collect()[0][0] == 36.0
+
+
+def test_publish_of_a_wrong_row_count_changes_nothing(spark):
+    path = scratch_path(spark, "test-publish-count")
+    P.publish_dynamic(_bids(spark).withColumn("ds", F.lit("d1")), path, ["ds"])
+    fewer = _bids(spark).limit(2).withColumn("ds", F.lit("d1"))
+    with pytest.raises(ValueError, match="2 rows to publish, expected 4"):
+        P.publish_dynamic(fewer, path, ["ds"], expected_rows=_bids(spark))
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_publish_may_read_the_partition_it_overwrites(spark):
+    path = scratch_path(spark, "test-publish-self")
+    P.publish_dynamic(_bids(spark).withColumn("ds", F.lit("d1")), path, ["ds"])
+    doubled = spark.read.parquet(path).withColumn("adjusted_rpc", F.col("adjusted_rpc") * 2)
+    P.publish_dynamic(doubled, path, ["ds"])
+    assert spark.read.parquet(path).agg(F.sum("adjusted_rpc")).first()[0] == 20.0

@@ -6,12 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from adperf.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 KEYS = ["ad_signal", "ad_signal_attr", "feature_build", "click_bucket", "label_first_n", "site_offer", "bounce_item",
         "attribution", "spend_revenue_report", "gated_override", "eval_table", "variant_cluster", "tfidf_terms",
-        "publish_dynamic", "weighted_price"]
+        "publish_dynamic", "weighted_price", "signal_dataset", "label_encode"]
 
 
 def _norm(v):
@@ -42,9 +43,10 @@ def test_matches_oracle(spark, con, key):
 
 
 def test_registry_complete():
-    q, s = E.queries(), E.oracle_sql()
-    assert len(q) == 105 and set(s) <= set(q)
-    assert set(q) - set(s) == {"gbt_oof", "kfold_score", "text_svd", "fm_regression"}
+    q, s = catalog.queries(), catalog.oracle_sql()
+    assert len(q) == 108 and set(s) <= set(q)
+    assert set(q) - set(s) == {"gbt_oof", "kfold_score", "text_svd", "fm_regression", "text_model_frame", "model_eval_table"}
+    assert set(q) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
