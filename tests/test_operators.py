@@ -87,22 +87,3 @@ def test_hash_folds_are_stable_and_balanced(spark):
     assert len(a) == 5 and all(300 < r["count"] < 500 for r in a)
     b = V.fold_assign(df, ["k"], 5).collect()
     assert b == V.fold_assign(df, ["k"], 5).collect()
-
-
-def test_randomized_svd_matches_arpack_subspace(spark):
-    import numpy as np
-    from pyspark.ml.linalg import Vectors
-    from pyspark.mllib.linalg import Vectors as MV
-    from pyspark.mllib.linalg.distributed import RowMatrix
-
-    from adperf.operators.text import randomized_right_vectors
-    rng = np.random.default_rng(0)
-    n, m, k = 40, 300, 4
-    dense = rng.standard_normal((m, k)) @ (rng.standard_normal((k, n)) * np.array([[8.0], [5.0], [3.0], [2.0]]))
-    dense += 0.01 * rng.standard_normal((m, n))
-    dense[np.abs(dense) < 0.5] = 0.0
-    rows = spark.sparkContext.parallelize([Vectors.sparse(n, {j: float(v) for j, v in enumerate(r) if v != 0.0})
-                                           for r in dense], 4)
-    va = RowMatrix(rows.map(MV.fromML)).computeSVD(k).V.toArray()
-    vr = randomized_right_vectors(rows, n, k)
-    assert np.linalg.svd(va.T @ vr, compute_uv=False).min() > 0.999
