@@ -96,42 +96,62 @@ def minimizers(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram
     return tuple(np.concatenate(x) for x in (texts, firsts, counts, hashes))
 
 
+def _digest(part: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(part, digest_size=8).digest(), "little", signed=True)
+
+
 def _find_minimizers(length: int, gram: int):
+    """Rows (row, text) to segments: minimizer, digest, row, and place (first byte and number of strings in one)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = text_bytes(b.column(1))
             text, first, n, h = minimizers(data, offsets, length, gram)
-            ids = b.column(0).take(pa.array(text))
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), ids, pa.array(first << 16 | n)], names=["h", "row", "place"])
+            whole, begin = memoryview(data), offsets[text] + first
+            ids = [_digest(whole[x:y]) for x, y in zip(begin.tolist(), (begin + n + length - 1).tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids, pa.int64()), b.column(0).take(pa.array(text)), pa.array(first << 16 | n)], names=["h", "segment", "row", "place"])
 
     return run
 
 
-def _cut(length: int, gram: int, with_bytes: bool):
-    """Rows (row, own, text, places of repeated minimizers) to segments; a place whose bytes do not hold its minimizer is another row's with the same id."""
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as zstandard frames: they travel smaller."""
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for b in batches:
+        data, offsets = text_bytes(b.column("text"))
+        whole = memoryview(data)
+        frames = pa.array([pack(whole[x:y]) for x, y in zip(offsets.tolist(), offsets[1:].tolist(), strict=False)], pa.binary())
+        yield pa.RecordBatch.from_arrays([*(b.column(k) for k in b.schema.names if k != "text"), frames], names=[*(k for k in b.schema.names if k != "text"), "text"])
+
+
+def _unpacked(column: pa.Array) -> Iterator[bytes]:
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    return map(unpack, column.to_pylist())
+
+
+def _part(text: bytes, segment: int, place: int, length: int) -> bytes | None:
+    """A segment's bytes; None if they are not at that place, which then is of another row with the same id."""
+    first = place >> 16
+    part = text[first:first + (place & 0xFFFF) + length - 1]
+    return part if _digest(part) == segment else None
+
+
+def _cut(length: int):
+    """Rows (row, text, places of segments) to the segments' bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, offsets = text_bytes(b.column("text"))
-            rows, owns, hs, firsts, counts, parts = [], [], [], [], [], []
-            for i, (row, own, marks) in enumerate(zip(b.column("row").to_pylist(), b.column("own").to_pylist(), b.column("marks"), strict=True)):
-                text = data[offsets[i]:offsets[i + 1]].tobytes()
-                for h, place in zip(marks.values.field("h").to_pylist(), marks.values.field("place").to_pylist(), strict=True):
-                    first, n = place >> 16, place & 0xFFFF
-                    part = text[first:first + length + n - 1]
-                    if len(part) == length + n - 1:
-                        rows.append(row)
-                        owns.append(own)
-                        hs.append(h)
-                        firsts.append(first)
-                        counts.append(n)
-                        parts.append(part)
-            ids = pa.array([int.from_bytes(hashlib.blake2b(p, digest_size=8).digest(), "little", signed=True) for p in parts], pa.int64())
-            h, n = pa.array(hs, pa.int64()), pa.array(counts, pa.int32())
-            if with_bytes:
-                yield pa.RecordBatch.from_arrays([h, ids, n, pa.array(parts, pa.binary())], names=["h", "segment", "n", "bytes"])
-            else:
-                yield pa.RecordBatch.from_arrays([h, ids, pa.array(rows, pa.int64()), pa.array(owns, pa.int64()), pa.array(firsts, pa.int64())], names=["h", "segment", "row", "own", "first"])
+            rows = []
+            for text, marks in zip(_unpacked(b.column("text")), b.column("marks").to_pylist(), strict=True):
+                for m in marks:
+                    if (part := _part(text, m["segment"], m["place"], length)) is not None:
+                        rows.append((m["h"], m["segment"], m["place"] & 0xFFFF, part))
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["h", "segment", "n", "bytes"])
 
     return run
 
@@ -182,37 +202,40 @@ SPANS = pa.schema([("h", pa.int64()), ("segment", pa.int64()), ("a", pa.int32())
 
 
 def _remove(length: int, keep_text: bool):
-    """Rows (row, own, text, spans of (own, a, b): runs of repeated strings) to what is left of each text."""
+    """Rows (row, text, spans: runs of repeated strings of its segments) to what is left of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, offsets = text_bytes(b.column("text"))
-            removed, n_spans, shas, texts = [], [], [], []
-            for i, (own, spans) in enumerate(zip(b.column("own").to_pylist(), b.column("spans"), strict=True)):
-                text = data[offsets[i]:offsets[i + 1]].tobytes()
-                kept, at, n, gone = [], 0, 0, 0
-                if spans.is_valid:
-                    f = spans.values
-                    mine = np.asarray(f.field("own")) == own
-                    ab = np.stack([np.asarray(f.field("a"))[mine], np.asarray(f.field("b"))[mine]], 1)
-                    last = -1
-                    for a, e in ab[np.argsort(ab[:, 0], kind="stable")].tolist():
-                        e += length - 1
-                        if a > last:
-                            n += 1
-                            kept.append(text[at:a])
-                            gone += e - a
-                            last = at = e
-                        elif e > last:
-                            gone += e - last
-                            last = at = e
+            sizes, removed, n_spans, shas, texts = [], [], [], [], []
+            for text, spans in zip(_unpacked(b.column("text")), b.column("spans").to_pylist(), strict=True):
+                here: dict[tuple[int, int], bool] = {}
+                runs = []
+                for x in spans or ():
+                    run, first = x["run"], x["run"] >> 24
+                    key = x["segment"], first << 16 | run >> 16 & 255
+                    if key not in here:
+                        here[key] = _part(text, *key, length) is not None
+                    if here[key]:
+                        runs.append((first + (run >> 8 & 255), first + (run & 255) + length - 1))
+                kept, at, n, gone, last = [], 0, 0, 0, -1
+                for begin, end in sorted(runs):
+                    if begin > last:
+                        n += 1
+                        kept.append(text[at:begin])
+                        gone += end - begin
+                        last = at = end
+                    elif end > last:
+                        gone += end - last
+                        last = at = end
                 kept.append(text[at:])
                 rest = b"".join(kept)
+                sizes.append(len(text))
                 removed.append(gone)
                 n_spans.append(n)
                 shas.append(hashlib.sha256(rest).hexdigest())
                 texts.append(rest.decode("utf-8", "ignore") if keep_text else None)
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in b.schema.names if k not in ("row", "own", "text", "spans")), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(shas, pa.string()), pa.array(texts, pa.string())], names=[*(k for k in b.schema.names if k not in ("row", "own", "text", "spans")), *(x.split(" ")[0] for x in OUT.split(", "))])
+            others = [k for k in b.schema.names if k not in ("row", "text", "spans")]
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in others), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(shas, pa.string()), pa.array(texts, pa.string())], names=[*others, *(x.split(" ")[0] for x in OUT.split(", "))])
 
     return run
 
@@ -228,32 +251,44 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and those shorter than ``length`` stay as they are. Each repeated row
     counts as a document of its own. ``kept`` leaves out bytes of characters that were cut through.
 
-    Texts are shuffled once, by id, and that exchange is read three times: for
-    the segments' bytes, for their places and for the removal. Equal segments are one
-    row before they meet; a minimizer that very many different segments share is
-    dealt on by single strings, so that no task gets an unbounded group.
+    Texts are shuffled once, by id and compressed, and that exchange is read
+    twice: for the bytes of the segments that are sorted and for the removal. Until
+    then segments are digests. Equal segments are one row before they are sorted, and
+    a segment alone with its minimizer needs no sorting; a minimizer that
+    very many different segments share is dealt on by single strings, so that no
+    task gets an unbounded group.
     """
-    clash = [c for c in docs.columns if c in ("row", "own", "spans", *(x.split(" ")[0] for x in OUT.split(", "))) and c not in (id_col, text_col)]
+    if not gram <= length < gram + 255:
+        raise ValueError("a string must hold 1 to 255 places for its minimizer")
+    clash = [c for c in docs.columns if c in ("row", "marks", "spans", *(x.split(" ")[0] for x in OUT.split(", "))) and c not in (id_col, text_col)]
     docs = docs.drop(*clash)
     others = [c for c in docs.columns if c != text_col]
     row = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("row")
-    rows = docs.select(*others, row, F.xxhash64(text_col).alias("own"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    long = rows.where(F.octet_length("text") >= length)
+    rows = docs.select(*others, row, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
-    marks = stored(long.select("row", "text").mapInArrow(_find_minimizers(length, gram), "h long, row long, place long"), "minimizers")
+    marks = rows.where(F.octet_length("text") >= length).select("row", "text").mapInArrow(_find_minimizers(length, gram), "h long, segment long, row long, place long")
     often = marks.groupBy("h").count().where("count > 1").select("h")
-    places = marks.join(often, "h").groupBy("row").agg(F.collect_list(F.struct("h", "place")).alias("marks"))
-    found = rows.join(places, "row").select("row", "own", "text", "marks")
-    segments = found.mapInArrow(_cut(length, gram, True), "h long, segment long, n int, bytes binary").groupBy("h", "segment").agg(F.first("bytes").alias("bytes"), F.first("n").alias("n"), F.count("*").alias("copies"))
-    crowd = segments.groupBy("h").agg(F.count("*").alias("segments"))
-    segments = segments.join(crowd, "h")
-    copied = segments.where("copies > 1").select("h", "segment", F.lit(0).alias("a"), F.col("n").alias("b"))
-    sorted_here = segments.where((F.col("segments") > 1) & (F.col("segments") <= most_segments)).select("h", "segment", "n", "bytes").repartition("h").sortWithinPartitions("h").mapInArrow(_sort_segments(length), "h long, segment long, a int, b int")
-    spans = copied.unionAll(sorted_here).unionAll(_by_string(segments.where(F.col("segments") > most_segments), length))
-    mine = found.mapInArrow(_cut(length, gram, False), "h long, segment long, row long, own long, first long").join(spans, ["h", "segment"])
-    spans_by_row = mine.groupBy("row").agg(F.collect_list(F.struct("own", (F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b")).alias("b"))).alias("spans"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*others).schema), OUT])
-    return rows.join(spans_by_row, "row", "left").mapInArrow(_remove(length, keep_text), schema)
+    found = stored(marks.join(often, "h"), "segments")
+    distinct = found.groupBy("h", "segment").agg(F.count("*").alias("copies"), F.min(F.struct("row", "place")).alias("first"))
+    distinct = stored(distinct.join(distinct.groupBy("h").agg(F.count("*").alias("segments")), "h"), "distinct")
+
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*others).schema)
+    texts = rows.mapInArrow(_packed, f"{fields}row long, text binary").where("row is not null")  # one exchange for both joins below
+    wanted = _by_row(distinct.where("segments > 1").select(F.col("first.row").alias("row"), "h", "segment", F.col("first.place").alias("place")), "marks")
+    cut = texts.join(wanted, "row").mapInArrow(_cut(length), "h long, segment long, n int, bytes binary")
+    crowds = distinct.where(F.col("segments") > most_segments).select("h").distinct()
+    sorted_here = cut.join(crowds, "h", "left_anti").repartition("h").sortWithinPartitions("h").mapInArrow(_sort_segments(length), "h long, segment long, a int, b int")
+    copied = distinct.where("copies > 1").select("h", "segment", F.lit(0).alias("a"), F.col("first.place").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("b"))
+    spans = copied.unionAll(sorted_here).unionAll(_by_string(cut.join(crowds, "h", "left_semi"), length))
+    # First byte, number of strings, first and end of the run of repeated ones, in one number.
+    run = F.shiftleft(F.shiftright("place", 16), 24).bitwiseOR(F.shiftleft(F.col("place").bitwiseAND(F.lit(255)), 16)).bitwiseOR(F.shiftleft(F.col("a").cast("long"), 8)).bitwiseOR(F.col("b").cast("long"))
+    by_row = _by_row(found.join(spans, ["h", "segment"]).select("row", "segment", run.alias("run")), "spans")
+    return texts.join(by_row, "row", "left").mapInArrow(_remove(length, keep_text), fields + OUT)
+
+
+def _by_row(df: DataFrame, into: str) -> DataFrame:
+    """A row's other columns in a list. They travel as plain rows: lists of one before the shuffle would be larger."""
+    return df.repartition("row").groupBy("row").agg(F.collect_list(F.struct(*[c for c in df.columns if c != "row"])).alias(into))
 
 
 def _by_string(segments: DataFrame, length: int) -> DataFrame:
