@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,14 +24,10 @@ from adperf.llm.shingles import WORDS, mixed, shingle_sets
 #: Two sets with a likeness of 0.75 meet in no band with a chance of (1 - 0.75 ** ROWS) ** BANDS, 2 in 100,000.
 ROWS, BANDS = 5, 40
 SKETCH_BITS = 512
-#: Candidates whose sketches say less are dropped: more than six standard deviations under 0.75.
-LEAST_ESTIMATE = 0.45
+#: Candidates whose sketches say less are dropped: more than four and a half standard deviations under 0.75.
+LEAST_ESTIMATE = 0.55
 #: Documents of a bucket that one task compares at a time; larger buckets are compared block by block.
-BLOCK = 4096
-#: In the second round each document tries so many of the likeliest documents of other components.
-LIKELIEST = 2
-
-_rng = np.random.default_rng(7)
+BLOCK = 1024
 SIGNATURE = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>, sketch array<long>"
 
 
@@ -120,72 +117,116 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("x", "y", "text_x", "text_y").mapInArrow(_alike, "x long, y long").distinct()
 
 
-def _likely(samples: int, top: int | None):
-    """For rows (bucket, i, j, side, id, component, sketch) sorted by block pair: pairs in different components that the sketches say are alike."""
-
-    def pairs(a: dict, b: dict, same: bool) -> tuple[np.ndarray, np.ndarray]:
-        xs, ys = [a["id"][:0]], [b["id"][:0]]
-        if not len(b["id"]):
-            return xs[0], ys[0]
-        for r in range(0, len(a["id"]), 256):
-            sl = slice(r, r + 256)
-            differing = np.zeros((len(a["id"][sl]), len(b["id"])), np.int64)
-            for w in range(SKETCH_BITS // 64):
-                differing += np.bitwise_count(a["sketch"][sl, None, w] ^ b["sketch"][None, :, w])
-            est = estimate(differing, samples)
-            est[a["component"][sl, None] == b["component"][None, :]] = -9
-            if same and top is None:
-                est[a["id"][sl, None] >= b["id"][None, :]] = -9
-            if top is not None and est.shape[1] > top:
-                bar = np.partition(est, -top, axis=1)[:, -top][:, None]
-                est[est < bar] = -9
-                est[(est == bar) & (np.cumsum(est == bar, axis=1) > top)] = -9
-            x, y = np.nonzero(est >= LEAST_ESTIMATE)
-            xs.append(a["id"][sl][x])
-            ys.append(b["id"][y])
-        return np.concatenate(xs), np.concatenate(ys)
-
-    def emit(group: list[dict]) -> pa.RecordBatch:
-        whole = {k: np.concatenate([g[k] for g in group]) for k in group[0]}
-        one = {k: v[whole["side"] == 0] for k, v in whole.items()}
-        two = {k: v[whole["side"] == 1] for k, v in whole.items()}
-        same = whole["i"][0] == whole["j"][0]
-        x, y = pairs(one, one if same else two, same)
-        return pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], names=["x", "y"])
+def _groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[dict]:
+    """Rows sorted by (bucket, i, j), one dictionary of arrays for each of these keys."""
+
+    def whole(group: list[dict]) -> dict:
+        return {k: np.concatenate([g[k] for g in group]) if k != "set" else [x for g in group for x in g[k]] for k in group[0]}
+
+    group: list[dict] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        c: dict = {n: np.asarray(b.column(n)) for n in names}
+        c["sketch"] = np.asarray(b.column("sketch").flatten()).view(np.uint64).reshape(b.num_rows, -1)
+        if "set" in b.schema.names:
+            flat, at = np.asarray(b.column("set").flatten()).view(np.uint64), np.concatenate(([0], np.cumsum(np.asarray(pc.list_value_length(b.column("set"))))))
+            c["set"] = [flat[x:y] for x, y in zip(at, at[1:], strict=False)]
+        key = np.stack([c["bucket"], c["i"], c["j"]], 1)
+        cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), b.num_rows]
+        for s, e in zip(cuts, cuts[1:], strict=False):
+            part = {k: v[s:e] for k, v in c.items()}
+            if group and tuple(key[s]) != (group[-1]["bucket"][0], group[-1]["i"][0], group[-1]["j"][0]):
+                yield whole(group)
+                group = []
+            group.append(part)
+    if group:
+        yield whole(group)
+
+
+NAMES = ("bucket", "i", "j", "side", "id", "component")
+
+
+def _estimates(g: dict, samples: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(place of x, places of the ys that its sketch likes, estimates), for x of the first block and ys of other components."""
+    same = g["i"][0] == g["j"][0]
+    one, two = np.flatnonzero(g["side"] == 0), np.flatnonzero(g["side"] == (0 if same else 1))
+    for x in one.tolist():
+        ys = two[two > x] if same else two
+        ys = ys[g["component"][ys] != g["component"][x]]
+        if len(ys):
+            est = estimate(np.bitwise_count(g["sketch"][ys] ^ g["sketch"][x]).sum(axis=1, dtype=np.int64), samples)
+            if len(good := np.flatnonzero(est >= LEAST_ESTIMATE)):
+                yield x, ys[good], est[good]
+
+
+def _likely(samples: int):
+    """Of the rows of a block pair, those that have a likely partner in another component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[dict] = []
-        for b in batches:
-            if not b.num_rows:
-                continue
-            c = {n: np.asarray(b.column(n)) for n in ("bucket", "i", "j", "side", "id", "component")}
-            c["sketch"] = np.asarray(b.column("sketch").flatten()).view(np.uint64).reshape(b.num_rows, -1)
-            key = np.stack([c["bucket"], c["i"], c["j"]], 1)
-            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1), b.num_rows]
-            for s, e in zip(cuts, cuts[1:], strict=False):
-                part = {k: v[s:e] for k, v in c.items()}
-                if group and tuple(key[s]) != (group[-1]["bucket"][0], group[-1]["i"][0], group[-1]["j"][0]):
-                    yield emit(group)
-                    group = []
-                group.append(part)
-        if group:
-            yield emit(group)
+        for g in _groups(batches, NAMES):
+            mark = np.zeros(len(g["id"]), bool)
+            for x, ys, _ in _estimates(g, samples):
+                mark[x] = True
+                mark[ys] = True
+            if mark.any():
+                sketch = pa.array(list(g["sketch"][mark].view(np.int64)), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*(pa.array(g[n][mark]) for n in NAMES), sketch], names=[*NAMES, "sketch"])
+
+    return run
+
+
+def _linked(samples: int):
+    """Links between the components of a block pair: likely pairs, the likeliest first, compared by their full sets until they are in one component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in _groups(batches, (*NAMES,)):
+            root: dict[int, int] = {}
+
+            def find(c: int, root: dict = root) -> int:
+                while root.get(c, c) != c:
+                    c = root[c]
+                return c
+
+            xs, ys, sets, component = [], [], g["set"], g["component"].tolist()
+            pairs = sorted(((-e, x, y) for x, many, es in _estimates(g, samples) for y, e in zip(many.tolist(), es.tolist(), strict=True)))
+            for _, x, y in pairs:
+                a, b = find(component[x]), find(component[y])
+                if a == b or 100 * min(len(sets[x]), len(sets[y])) < 75 * max(len(sets[x]), len(sets[y])):
+                    continue
+                common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * common >= 75 * (len(sets[x]) + len(sets[y]) - common):
+                    root[max(a, b)] = min(a, b)
+                    xs.append(max(g["id"][x], g["id"][y]))
+                    ys.append(min(g["id"][x], g["id"][y]))
+            yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(ys, pa.int64())], names=["x", "y"])
 
     return run
 
 
-def _leftover(near: DataFrame, known: DataFrame | None, sketches: DataFrame, samples: int, top: int | None, block: int) -> DataFrame:
-    """Likely pairs in buckets that still hold more than one component.
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text) to their shingle sets."""
+    for b in batches:
+        hashes, offsets = shingle_sets(b.column(1))
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(hashes.view(np.int64))).cast(pa.list_(pa.int64()))], names=["id", "set"])
+
+
+def _leftover(near: DataFrame, known: DataFrame, sketches: DataFrame, texts: DataFrame, samples: int, block: int) -> DataFrame:
+    """Links in buckets that still hold more than one component.
 
     A bucket of more than ``block`` documents is dealt to several tasks as pairs of
-    blocks; only pairs that pass the sketches leave a task.
+    blocks. First the sketches tell which documents have a likely partner; only those
+    get their full sets, and a task emits the links that join components, never its pairs.
     """
-    rows = near.join(known.withColumnRenamed("id", "cid"), "cid", "left").select("bucket", "cid", F.coalesce("component", "cid").alias("component")) if known is not None else near.select("bucket", "cid", F.col("cid").alias("component"))
-    mixed_ones = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    rows = near.join(known.withColumnRenamed("id", "cid"), "cid", "left").select("bucket", "cid", F.coalesce("component", "cid").alias("component"))
+    several = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
-    rows = rows.join(mixed_ones, "bucket").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.join(several, "bucket").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.join(sketches, "cid").select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), F.col("cid").alias("id"), "component", "sketch")
-    return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(_likely(samples, top), "x long, y long").distinct()
+    key = ["bucket", "i", "j"]
+    likely = stored(rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(_likely(samples), "bucket long, i int, j int, side int, id long, component long, sketch array<long>"), "likely")
+    sets = texts.join(likely.select(F.col("id").alias("doc_id")).distinct(), "doc_id").select("doc_id", "text").mapInArrow(_sets, "id long, set array<long>")
+    return likely.join(sets, "id").select(*NAMES, "sketch", "set").repartition(*key).sortWithinPartitions(*key).mapInArrow(_linked(samples), "x long, y long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS, bands: int = BANDS, block: int = BLOCK) -> DataFrame:
@@ -197,34 +238,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rows with one id are one document of several texts; a null id has no component and is kept.
 
     Documents of equal sets are one class, found by an aggregate. In round one
-    each class of a bucket is compared with the bucket's least id only; in the
-    next ones, only buckets that still hold several components are looked at: first
-    each class's likeliest partners, then every pair that passes the sketches. No
-    round emits all pairs of a bucket.
+    each class of a bucket is compared with the bucket's least id only. In round
+    two the buckets that still hold several components are looked at: of every
+    pair that passes the sketches the full sets are compared, unless the two are in
+    one component by then. No round emits all pairs of a bucket.
     """
     text = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     samples = rows * bands
     sig = stored(signatures(text, rows, bands), "signatures")
     sets = sig.where("doc_id is not null and n_shingles > 0")
     classes = sets.groupBy("s1", "s2", "n_shingles").agg(F.min(F.struct("doc_id", "sketch", "bands")).alias("least"))
-    member = classes.select(F.col("least.doc_id").alias("cid"), F.explode("least.bands").alias("bucket"))
-    full = member.groupBy("bucket").agg(F.min("cid").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # Tables, so that the joins with them can be split where a key is hot.
+    classes = stored(classes.select("s1", "s2", "n_shingles", F.col("least.doc_id").alias("cid"), "least.sketch", "least.bands"), "classes")
+    sketches = classes.select("cid", "sketch")
+    member = classes.select("cid", F.explode("bands").alias("bucket"))
+    full = stored(member.groupBy("bucket").agg(F.min("cid").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n"), "full")
     near = stored(member.join(full, "bucket"), "buckets")
-    sketches = stored(classes.select(F.col("least.doc_id").alias("cid"), F.col("least.sketch").alias("sketch")), "sketches")
     texts = stored(text.join(near.select(F.col("cid").alias("doc_id")).distinct(), "doc_id"), "texts")
 
     pairs = near.where("cid <> pivot").select(F.col("cid").alias("x"), F.col("pivot").alias("y")).distinct()
     pairs = pairs.join(sketches.select(F.col("cid").alias("x"), F.col("sketch").alias("a")), "x").join(sketches.select(F.col("cid").alias("y"), F.col("sketch").alias("b")), "y")
     links = stored(_verified(pairs.where(_estimated(F.col("a"), F.col("b"), samples) >= LEAST_ESTIMATE).select("x", "y"), texts), "verified")
     # A class's other ids, and ids of several classes, are linked to the class.
-    same = sets.join(classes.select("s1", "s2", "n_shingles", F.col("least.doc_id").alias("cid")), ["s1", "s2", "n_shingles"]).select(F.col("doc_id").alias("x"), F.col("cid").alias("y")).where("x <> y")
-    known = stored(components(links), "components")
-    for top in (LIKELIEST, None):
-        more = stored(_leftover(near, known, sketches, samples, top, block), "likely")
-        if more.isEmpty():
-            continue
-        links = links.unionAll(stored(_verified(more, texts), "verified"))
-        known = stored(components(links), "components")
+    same = sets.join(classes.select("s1", "s2", "n_shingles", "cid"), ["s1", "s2", "n_shingles"]).select(F.col("doc_id").alias("x"), F.col("cid").alias("y")).where("x <> y")
+    links = links.unionAll(stored(_leftover(near, components(links), sketches, texts, samples, block), "verified"))
     found = components(links.unionAll(same)).withColumnRenamed("id", "doc_id")
     out = sig.select("doc_id", "n_shingles").join(found, "doc_id", "left")
     component = F.coalesce("component", "doc_id")
