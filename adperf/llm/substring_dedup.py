@@ -267,7 +267,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(*others, row, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     marks = rows.where(F.octet_length("text") >= length).select("row", "text").mapInArrow(_find_minimizers(length, gram), "h long, segment long, row long, place long")
-    often = marks.groupBy("h").count().where("count > 1").select("h")
+    often = stored(marks.groupBy("h").count().where("count > 1").select("h"), "often")  # a table, so that a skewed join can be split
     found = stored(marks.join(often, "h"), "segments")
     distinct = found.groupBy("h", "segment").agg(F.count("*").alias("copies"), F.min(F.struct("row", "place")).alias("first"))
     distinct = stored(distinct.join(distinct.groupBy("h").agg(F.count("*").alias("segments")), "h"), "distinct")
