@@ -75,8 +75,8 @@ def winnow(df: DataFrame, text_col: str, into: str, gram: int = GRAM, window: in
 
 
 def hashes(keys: Column) -> Column:
-    """The set of the hashes of keys."""
-    return F.array_distinct(F.transform(keys, lambda x: F.shiftright(x, POSITION_BITS)))
+    """The set of the hashes of keys, to 32 bits."""
+    return F.array_distinct(F.transform(keys, lambda x: F.shiftright(x, 32).cast("int")))
 
 
 def written(keys: Column) -> Column:
@@ -103,16 +103,18 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Texts are shuffled once, by id; both joins read that exchange. A document
     sends its predecessor what it borrows and the hashes it is compared with.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ids = stored(rows.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.floor(F.char_length("text") / 4)).cast("int").alias("borrows")), "ids")
+    # An alias of the same name would stay in one of the two plans only, and their exchanges would differ.
+    every = docs.select(F.col(id_col) if id_col == "doc_id" else F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = every.where(F.col("doc_id").isNotNull())  # the same frame, and so the same exchange, for both joins
+    ids = stored(rows.groupBy("doc_id").agg(F.max(F.floor(F.char_length("text") / 4)).cast("int").alias("borrows")), "ids")
     links = cyclic_next(ids, "doc_id").select(F.col("next").alias("doc_id"), F.col("doc_id").alias("to"), "borrows")
     lent = rows.join(links, "doc_id")
     sent = (winnow(lent, "text", "keys").select("to", F.expr("substring(text, 1, borrows)").alias("borrowed"), hashes(F.col("keys")).alias("next_hashes"))
             .groupBy("to").agg(F.min(F.struct("borrowed", "next_hashes")).alias("lent")).withColumnRenamed("to", "doc_id"))
-    whole = rows.join(sent, "doc_id", "left").withColumn("n_chars", F.char_length("text").cast("long"))
+    whole = rows.join(sent, "doc_id", "left").unionByName(every.where(F.col("doc_id").isNull()), allowMissingColumns=True).withColumn("n_chars", F.char_length("text").cast("long"))
     edited = whole.withColumn("edited", F.expr("concat(substring(text, 1, int(n_chars - n_chars div 4)), substring(coalesce(lent.borrowed, ''), 1, int(n_chars div 4)))"))
     found = winnow(winnow(edited, "text", "keys"), "edited", "edited_keys")
-    found = found.withColumns({"own_hashes": hashes(F.col("keys")), "edited_hashes": hashes(F.col("edited_keys")), "next_hashes": F.coalesce("lent.next_hashes", F.array().cast("array<long>"))})
+    found = found.withColumns({"own_hashes": hashes(F.col("keys")), "edited_hashes": hashes(F.col("edited_keys")), "next_hashes": F.coalesce("lent.next_hashes", F.array().cast("array<int>"))})
     return found.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), written(F.col("keys")).alias("fingerprint"), written(F.col("edited_keys")).alias("edited_fingerprint"),
         likeness(F.col("own_hashes"), F.col("edited_hashes")).alias("near_edited"), likeness(F.col("own_hashes"), F.col("next_hashes")).alias("near_next"),
