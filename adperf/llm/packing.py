@@ -29,6 +29,11 @@ SPECIAL = {"<|endoftext|>": 50256}
 #: The same for texts in which no two white-space characters meet; without a look-ahead it runs faster.
 SINGLE_SPACES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"
 OTHER_SPACE = re.compile(r"[^\S \n]")
+#: From this length on, a white-space run is encoded outside the pattern, whose look-ahead stacks an entry for each character (up to 1,000,000).
+LONG_RUN = 1 << 16
+#: White space as the pattern's \s has it (Python's has four control characters more).
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_SPACES = re.compile(f"(?<![{SPACE}])[{SPACE}]{{{LONG_RUN},}}")
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -42,15 +47,28 @@ def _encoders(path: str):
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     make = lambda name, pattern: tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens=SPECIAL)
-    return make("any", PATTERN), make("single", SINGLE_SPACES)
+    return make("any", PATTERN), make("single", SINGLE_SPACES), make("run", r"\s+")
+
+
+def _ids(text: str, path: str) -> np.ndarray:
+    single = not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or OTHER_SPACE.search(text))
+    return _encoders(path)[single].encode_to_numpy(text, allowed_special="all")
 
 
 def token_ids(text: str | None, path: str) -> np.ndarray:
-    """Ids of a whole text; special strings inside are special tokens, as the library's default has it."""
+    """Ids of a whole text; special strings inside are special tokens, as the library's default has it.
+
+    A very long white-space run is one piece, as the pattern has it: all of it at the
+    end of the text or before a special string, otherwise all but its last character.
+    """
     if not text:
         return np.zeros(0, np.uint32)
-    single = not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or OTHER_SPACE.search(text))
-    return _encoders(path)[single].encode_to_numpy(text, allowed_special="all")
+    parts, start = [], 0
+    for run in LONG_SPACES.finditer(text) if len(text) >= LONG_RUN else ():
+        end = run.end() if run.end() == len(text) or text.startswith(tuple(SPECIAL), run.end()) else run.end() - 1
+        parts += [_ids(text[start:run.start()], path), _encoders(path)[2].encode_to_numpy(text[run.start():end])]
+        start = end
+    return np.concatenate([*parts, _ids(text[start:], path)]) if parts else _ids(text, path)
 
 
 class Packer:

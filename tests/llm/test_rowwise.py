@@ -42,6 +42,17 @@ def test_token_ids_are_the_librarys():
         assert packing.token_ids(x, path).tolist() == t.encode(x, add_special_tokens=False).ids, x[:50]
 
 
+def test_token_ids_of_very_long_white_space_are_the_librarys():
+    """Runs of 2,000,000, which the pattern's look-ahead cannot hold, and mixed ones about the length from which runs leave the pattern."""
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    path = vocabulary("byte_bpe_50k.tiktoken")
+    mixed = "".join(random.Random(6).choices(" \n\t\u00a0\u3000", k=packing.LONG_RUN + 1))
+    texts = ["one" + " " * 2_000_000 + "two  three", "\n" * 2_000_000, *(a + mixed[:packing.LONG_RUN + i] + b for i in (-1, 0, 1) for a in ("", "a", "\x1c") for b in ("", "b", "\x1c", "<|endoftext|>c", "<|x"))]
+    texts += [f"a{mixed}{last}b  c{mixed}<|endoftext|>{mixed}" for last in " \n\u00a0"]
+    for x in texts:
+        assert packing.token_ids(x, path).tolist() == t.encode(x, add_special_tokens=False).ids, (len(x), x[:20], x[-20:])
+
+
 def test_packing(docs, rows, no_docs):
     path = vocabulary("byte_bpe_50k.tiktoken")
     got = packing.pack(docs, path, window=64).collect()
