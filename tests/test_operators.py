@@ -87,3 +87,35 @@ def test_hash_folds_are_stable_and_balanced(spark):
     assert len(a) == 5 and all(300 < r["count"] < 500 for r in a)
     b = V.fold_assign(df, ["k"], 5).collect()
     assert b == V.fold_assign(df, ["k"], 5).collect()
+
+
+def test_topn_is_the_head_of_the_whole_order(spark):
+    """Below, at and above the number of rows, with nulls and ties of the first column, in one range and in several."""
+    rng = random.Random(11)
+    rows = [(rng.choice([None, *range(40)]), f"k{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "c int, k string").repartition(5)
+    whole = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    for few_ranges in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", few_ranges)
+        try:
+            for n in (0, 1, 700, 1501, 2999, 3000, 4000):
+                top = O.topn(df, n, [F.col("c").desc_nulls_last(), F.col("k").asc()])
+                assert list(map(tuple, top.collect())) == whole[:n], n
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert O.topn(df.limit(0), 5, [F.col("k").asc()]).count() == 0
+
+
+def test_topn_queries_take_the_sources_n(spark):
+    """sf0.01 has more than 1,000 ads and fewer than 500,000: all of them are returned, the best first."""
+    import __spark_entry__ as E
+    from adperf.plans import q_clicks
+    from adperf.plans.common import tables, universe
+
+    sf = "/root/testdata/sf0.01"
+    n = universe(tables(spark, sf)).count()
+    assert 1000 < n < q_clicks.TOP_N == 500_000
+    clicks = [r.clicks for r in E.queries()["topn_clicks"](spark, sf).collect()]
+    assert len(clicks) == n and clicks == sorted(clicks, key=lambda c: (c is None, -(c or 0)))
+    assert E.queries()["topn_complete"](spark, sf).count() == n
+    assert "limit 500000" in E.oracle_sql()["topn_clicks"] and "limit 500000" in E.oracle_sql()["topn_complete"]
