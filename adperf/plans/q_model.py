@@ -12,10 +12,12 @@ from adperf.operators import evaluate as V
 from adperf.operators import model as M
 from adperf.operators import text as X
 from adperf.operators.features import multi_anchor_sums
+from adperf.operators.signals import CATALOG_TEXT
 from adperf.plans.common import UNIVERSE_FIXTURES, tables, universe, universe_sql
 from adperf.plans.finalize import finalize
-from adperf.plans.params import ANCHOR, EXCLUDED, LABEL, W1
-from adperf.plans.q_eval import model_frame, stored_model_frame
+from adperf.plans.params import ANCHOR, EXCLUDED, LABEL, SITE_WINDOWS, W1
+from adperf.plans.q_eval import FEATS, model_frame, stored_model_frame
+from adperf.plans.q_merge import BC, SITE, UBER, WP_COLS, _priced
 from adperf.session import materialize, scratch_path
 from adperf.plans.sqlkit import d, final, fixtures, win
 
@@ -114,9 +116,12 @@ from universe"""
 
 
 # H2 / H3 -----------------------------------------------------------------------
-# The feature list of the boosted-tree trials (a config list).
-GBT_FEATURES = [f"sem_{m}_{w}" for w in ("w1", "w2", "v2")
-                for m in ("clicks", "impressions", "adspend", "cpc", "ctr", "convrt_seller", "ordersize_seller", "rpc_seller")]
+TEXTS = [("item_name", "title_svd", 32), ("item_short_desc", "desc_svd", 64)]
+
+# As in the source's config list: the mobile flag, the ad signal of every window but the label's, catalog, site, bounce and weighted prices, both texts.
+GBT_FEATURES = ["is_mobile", *[f for f in FEATS if not f.endswith("_l")], *[f"uber_{c}_w1" for c in UBER if c not in CATALOG_TEXT],
+                *[f"{g}_{c}_{w.name}" for w in SITE_WINDOWS for g, cols in (("site", SITE), ("bc", BC)) for c in cols], *WP_COLS,
+                *[f"{prefix}_{i}" for _, prefix, k in TEXTS for i in range(k)]]
 
 
 # The six models: conversion rate, order size and revenue per click, by brand and by seller, each weighted by what it is measured on.
@@ -130,12 +135,18 @@ GBT = dict(max_iter=20, max_depth=5)
 _TRAINED: dict[tuple[str, str], tuple[str, str]] = {}
 
 
+def training_frame(spark, sf):
+    """The priced feature table with its items' text features."""
+    features = _text_features(spark, sf).withColumn("item_id", F.col("item_id").cast("string"))
+    return _priced(tables(spark, sf)).join(features, "item_id", "left")
+
+
 def _trained(spark, sf):
-    """The model frame with folds and the path of the six saved models, trained once per session and folder."""
+    """The training frame with folds and the path of the six saved models, trained once per session and folder."""
     key = (spark.conf.get("spark.app.id", "app"), sf)
     if key not in _TRAINED:
         frame, models = scratch_path(spark, "model-frame"), scratch_path(spark, "models")
-        V.fold_assign(model_frame(tables(spark, sf)), AD_KEY, 5).write.parquet(frame)
+        V.fold_assign(training_frame(spark, sf), AD_KEY, 5).write.parquet(frame)
         M.train_models(spark.read.parquet(frame), SPECS, GBT_FEATURES, models, **GBT)
         _TRAINED[key] = frame, models
     frame, models = _TRAINED[key]
@@ -180,9 +191,6 @@ def q_fm_regression(spark, sf):
 
 
 # H6 / C26 ----------------------------------------------------------------------
-TEXTS = [("item_name", "title_svd", 32), ("item_short_desc", "desc_svd", 64)]
-
-
 def _text_features(spark, sf):
     """Both texts' models, fitted once, written and used to score the items."""
     from pyspark.ml.feature import StopWordsRemover

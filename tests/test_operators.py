@@ -119,3 +119,14 @@ def test_topn_queries_take_the_sources_n(spark):
     assert len(clicks) == n and clicks == sorted(clicks, key=lambda c: (c is None, -(c or 0)))
     assert E.queries()["topn_complete"](spark, sf).count() == n
     assert "limit 500000" in E.oracle_sql()["topn_clicks"] and "limit 500000" in E.oracle_sql()["topn_complete"]
+
+
+def test_boosted_models_learn_from_every_signal_and_window_but_the_label():
+    from adperf.plans import q_model
+    from adperf.plans.params import FEATURE_WINDOWS, SITE_WINDOWS
+
+    f = q_model.GBT_FEATURES
+    assert len(f) == len(set(f)) and not any(x.endswith("_l") for x in f)
+    assert all(f"sem_{m}_{w.name}" in f for m in ("clicks", "gmv_seller", "roas_brand") for w in FEATURE_WINDOWS if w.name != "l")
+    assert all(x in f for w in SITE_WINDOWS for x in (f"site_convrt_{w.name}", f"bc_bounce_rate_{w.name}"))
+    assert {"is_mobile", "uber_curr_item_price_w1", "uber_weight_price_cart_w1_brand", "title_svd_31", "desc_svd_63"} <= set(f)
