@@ -54,10 +54,12 @@ class Automaton:
         self.origin = [0] * size  # per token: the state its arcs led to when it was made
         self.merge: dict[int, int] = {}
         alive = [True] * size
+        unmade = {vocab[first + second] for first, second in merges}
         for m, (first, second) in enumerate(merges, 1):
             u, v, w = vocab[first], vocab[second], vocab[first + second]
-            if self.made[u] >= m or self.made[v] >= m or self.made[w]:
+            if u in unmade or v in unmade or w not in unmade:
                 raise ValueError("a merge comes before its halves, or twice")
+            unmade.remove(w)
             self.made[w], self.left[w] = m, u
             self.owner.append(u)
             if not (alive[u] and alive[v] and self.follows(self.target[u], v)):
