@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from adperf.llm.common import by_bytes
 
 #: Characters of texts that are encoded in one go (a longer text goes alone); bounds memory, not results.
-BATCH_CHARS = 1 << 22
-#: White-space chunks a worker remembers; beyond that it starts anew (this bounds memory, not results).
+BATCH_CHARS = 1 << 21
+#: White-space chunks, and words, that a worker remembers; beyond that it starts anew (this bounds memory, not results).
 REMEMBERED = 1 << 19
 
 
@@ -95,37 +95,51 @@ class Automaton:
             state = self.origin[u]
         return True
 
+    def arcs(self, word: str, at: int) -> list[tuple[int, int]]:
+        """(token, where it ends) of the tokens that stand in the word from ``at``, the longest last."""
+        n, node, out = len(word), self.tree, []
+        for j in range(at, n):
+            node = node.get(word[j])
+            if node is None:
+                break
+            token = node.get(1 if self.suffix and j == n - 1 else 0)
+            if token is not None:
+                out.append((token, j + 1))
+        return out
+
     def encode(self, word: str) -> list[int]:
-        """Tokens of a word, whose last symbol carries the suffix: the one accepted path, followed by its reachable places.
+        """Tokens of a word, whose last symbol carries the suffix: the accepted path, longest arcs first.
 
-        ValueError for a character that no token holds.
+        A beginning of the word has one path, so a place that leads nowhere is tried
+        once. ValueError for a character that no token holds.
         """
-        n = len(word)
-        last = 1 if self.suffix else 0
-        states, back = [-1] * (n + 1), [(0, 0)] * (n + 1)
-        if n:
-            states[0] = 0
-        for i in range(n):
-            state = states[i]
-            if state < 0:
-                raise ValueError("no token for a character")
-            node = self.tree
-            for j in range(i, n):
-                node = node.get(word[j])
-                if node is None:
+        n, place, state = len(word), 0, 0
+        path: list[int] = []
+        steps: list[tuple[int, int, list]] = []
+        nowhere = set()
+        ahead = self.arcs(word, 0)
+        while place < n:
+            while ahead:
+                token, end = ahead.pop()
+                if end not in nowhere and self.follows(state, token):
+                    steps.append((place, state, ahead))
+                    path.append(token)
+                    place, state = end, self.target[token]
+                    ahead = self.arcs(word, place)
                     break
-                token = node.get(last if j == n - 1 else 0)
-                if token is not None and states[j + 1] < 0 and self.follows(state, token):
-                    states[j + 1] = self.target[token]
-                    back[j + 1] = i, token
-        if n and states[n] < 0:
-            raise ValueError("no token for a character")
-        out = []
-        at = n
-        while at:
-            at, token = back[at]
-            out.append(token)
-        return out[::-1]
+            else:
+                if not steps:
+                    raise ValueError("no token for a character")
+                nowhere.add(place)
+                place, state, ahead = steps.pop()
+                path.pop()
+        return path
+
+
+#: The pattern of word_bpe_49k.json, and what it finds in printed ASCII; anything else is split by the library.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[!-/:-@\[-`{-~]+")
+PRINTED = re.compile(r"[!-~]+")
 
 
 class Codec:
@@ -143,28 +157,32 @@ class Codec:
             raise ValueError("only BPE files with a split into words and bytes as symbols")
         library = Tokenizer.from_file(path)
         self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
+        lowers = [x["type"] for x in (file["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+        self.ascii = lowers and file["pre_tokenizer"]["pretokenizers"][0].get("pattern") == {"Regex": WORD_PATTERN}
         merges = [tuple(x) if isinstance(x, list) else tuple(x.split(" ")) for x in model["merges"]]
         self.automaton = Automaton(model["vocab"], merges, model["end_of_word_suffix"] or "")
         self.added = {x["content"]: x["id"] for x in file["added_tokens"]}
         self.special = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
-        labels = {t: x for x, t in [*model["vocab"].items(), *self.added.items()]}
-        self.labels = pa.array([labels.get(i) for i in range(max(labels) + 1)], pa.large_string())
         self.forget()
 
     def forget(self) -> None:
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, tuple[int, ...]] = {}
         self.chunks: dict[str, int] = {}
         self.flat, self.ends = array("i"), array("q", [0])
 
-    def word(self, word: str) -> list[int]:
+    def word(self, word: str) -> tuple[int, ...]:
         got = self.words.get(word)
         if got is None:
-            got = self.words[word] = self.automaton.encode(word)
+            got = self.words[word] = tuple(self.automaton.encode(word))
         return got
 
     def plain(self, text: str) -> list[int]:
         """Ids of a text without special strings."""
         out: list[int] = []
+        if self.ascii and PRINTED.fullmatch(text):
+            for word in ASCII_WORD.findall(text.lower()):
+                out += self.word(word)
+            return out
         for word, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text) if self.normalizer else text):
             out += self.word(word)
         return out
@@ -181,7 +199,7 @@ class Codec:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets). No token of these files spans white space, so texts are cut there and chunks looked up."""
-        if len(self.chunks) > REMEMBERED:
+        if len(self.chunks) > REMEMBERED or len(self.words) > REMEMBERED:
             self.forget()
         numbers: list[int] = []
         counts = []
@@ -213,32 +231,20 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def _encoded(texts: pa.Array, path: str) -> pa.Array:
-    c = codec(path)
-    parts = []
-    for group in by_bytes(pc.fill_null(texts, "").to_pylist(), len, BATCH_CHARS):
-        ids, offsets = c.encode(group)
-        parts.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)))
-    return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+@lru_cache(maxsize=2)
+def labels(path: str) -> pa.Array:
+    """Labels of the arcs, by id: all that decoding needs."""
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    by_id = {t: x for x, t in file["model"]["vocab"].items()} | {x["id"]: x["content"] for x in file["added_tokens"]}
+    return pa.array([by_id.get(i) for i in range(max(by_id) + 1)], pa.large_string())
 
 
 def _decoded(ids: pa.Array, path: str) -> pa.Array:
-    labels = codec(path).labels
     ids = pc.fill_null(ids, pa.scalar([], ids.type))
     offsets = ids.offsets.to_numpy()
-    taken = labels.take(ids.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0])))
-    return pc.binary_join(pa.LargeListArray.from_arrays(pa.array((offsets - offsets[0]).astype(np.int64)), taken), pa.scalar(" ", pa.large_string())).cast(pa.string())
-
-
-def encode(text: Column, tokenizer: str) -> Column:
-    """array<int>: the ids of a whole text; none for a null or empty one."""
-
-    @F.arrow_udf("array<int>")
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            yield _encoded(texts, tokenizer)
-
-    return run(text)
+    emitted = labels(path).take(ids.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0])))
+    return pc.binary_join(pa.LargeListArray.from_arrays(pa.array((offsets - offsets[0]).astype(np.int64)), emitted), pa.scalar(" ", pa.large_string())).cast(pa.string())
 
 
 def decode(ids: Column, tokenizer: str) -> Column:
@@ -259,10 +265,21 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
     empty texts have no ids and decode to an empty text; a null id stays null,
     repeated rows are encoded each, other columns are ignored, and an empty table
     gives no rows. Very long texts and words are encoded whole, in time and memory
-    in proportion to their length. Row-local: no shuffle.
+    in proportion to their length. Row-local: no shuffle; results leave a task in
+    small batches.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.select("doc_id", encode(F.col("text"), tokenizer).alias("ids")).withColumn("decoded", decode(F.col("ids"), tokenizer))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for group in by_bytes(batch.column(1).to_pylist(), len, BATCH_CHARS):
+                ids, offsets = codec(tokenizer).encode(group)
+                found = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(group)), found, _decoded(found, tokenizer)], ["doc_id", "ids", "decoded"])
+                at += len(group)
+
+    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, ids array<int>, decoded string")
 
 
 def digests(found: DataFrame) -> DataFrame:
