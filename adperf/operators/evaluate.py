@@ -22,14 +22,16 @@ def label_zero_fill(df: DataFrame, label_suffix: str = "_l") -> DataFrame:
     return df.fillna(0, subset=cols)
 
 
-def target_filter(target: str, tar: str, source_col: str = "source_id") -> Column:
-    """Training/validation row filter of a target (op B17)."""
-    src = F.col(source_col) == 2
-    if target == "convrt":
-        v = F.col(f"sem_convrt_{tar}_l")
-        return src & (v >= 0) & (v <= 0.3)
-    v = F.col(f"sem_ordersize_{tar}_l")
-    return src & (v >= 0) & (v <= 500)
+def target_filter(target: str, tar: str, source_col: str = "source_id", min_orders: float | None = None) -> Column:
+    """Training/validation row filter of a target (op B17).
+
+    The revenue per click has the order size's filter, as in the source;
+    ``min_orders`` also asks for so many label orders (the source's older order
+    size model learned from three or more).
+    """
+    low, high, of = (0, 0.3, "convrt") if target == "convrt" else (0, 500, "ordersize")
+    ok = (F.col(source_col) == 2) & F.col(f"sem_{of}_{tar}_l").between(low, high)
+    return ok if min_orders is None else ok & (F.col(f"sem_orders_{tar}_l") >= min_orders)
 
 
 def training_gate(df: DataFrame, clicks_col: str = "sem_clicks_l", min_clicks: float = 100.0,

@@ -93,20 +93,24 @@ SQL["label_zero_fill"] = mf_with(f"select {KEY}, {', '.join(f'coalesce({x}, 0) a
 @register("target_filters")
 def q_target_filters(spark, sf):
     mf = model_frame(tables(spark, sf))
-    flags = [F.coalesce(V.target_filter(t, tar), F.lit(False)).alias(f"ok_{t}_{tar}")
-             for t in ("convrt", "ordersize") for tar in ("brand", "seller")]
+    flags = [F.coalesce(V.target_filter(t, tar), F.lit(False)).alias(f"ok_{t}_{tar}") for t in ("convrt", "ordersize", "rpc") for tar in ("brand", "seller")]
+    flags += [F.coalesce(V.target_filter("ordersize", tar, min_orders=LEAST_ORDERS), F.lit(False)).alias(f"ok_ordersize_min_{tar}") for tar in ("brand", "seller")]
     return finalize(mf.select(*AD_KEY, *flags))
 
 
-def _tf_sql(t, tar):
-    v = f"sem_{t}_{tar}_l"
-    hi = "0.3" if t == "convrt" else "500"
-    return f"coalesce(source_id = 2 and {v} >= 0 and {v} <= {hi}, false) as ok_{t}_{tar}"
+#: Three orders in the label window; label columns are means a day.
+LEAST_ORDERS = 3 / effective_days(ANCHOR, LABEL, EXCLUDED)
 
 
-SQL["target_filters"] = mf_with(f"select {KEY}, "
-                                + ", ".join(_tf_sql(t, tar) for t in ("convrt", "ordersize") for tar in ("brand", "seller"))
-                                + " from mf")
+def _tf_sql(tar):
+    size = f"source_id = 2 and sem_ordersize_{tar}_l >= 0 and sem_ordersize_{tar}_l <= 500"
+    return f"""coalesce(source_id = 2 and sem_convrt_{tar}_l >= 0 and sem_convrt_{tar}_l <= 0.3, false) as ok_convrt_{tar},
+  coalesce({size}, false) as ok_ordersize_{tar}, coalesce({size}, false) as ok_rpc_{tar},
+  coalesce({size} and sem_orders_{tar}_l >= cast({LEAST_ORDERS!r} as double), false) as ok_ordersize_min_{tar}"""
+
+
+SQL["target_filters"] = mf_with(f"select {KEY}, {_tf_sql('brand')}, {_tf_sql('seller')} from mf")
+
 
 
 # B18 ---------------------------------------------------------------------------

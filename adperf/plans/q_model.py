@@ -3,23 +3,26 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from adperf.functions.exprs import AD_KEY, local_day_exact, local_day_fixed
-from adperf.functions.windows import as_date, effective_days
+from adperf.functions.windows import as_date
 from adperf.operators import evaluate as V
 from adperf.operators import model as M
 from adperf.operators import text as X
+from adperf.operators.boost import Boosting
 from adperf.operators.features import multi_anchor_sums
+from adperf.operators.ordering import topn
 from adperf.operators.signals import CATALOG_TEXT
 from adperf.plans.common import UNIVERSE_FIXTURES, tables, universe, universe_sql
 from adperf.plans.finalize import finalize
-from adperf.plans.params import ANCHOR, EXCLUDED, LABEL, SITE_WINDOWS, W1
+from adperf.plans.params import ANCHOR, EXCLUDED, SITE_WINDOWS, W1
 from adperf.plans.q_eval import FEATS, model_frame, stored_model_frame
 from adperf.plans.q_merge import BC, SITE, UBER, WP_COLS, _priced
-from adperf.session import materialize, scratch_path
 from adperf.plans.sqlkit import d, final, fixtures, win
+from adperf.session import materialize, path_exists, scratch_path, spread
 
 Q: dict = {}
 SQL: dict = {}
@@ -125,61 +128,70 @@ GBT_FEATURES = ["is_mobile", *[f for f in FEATS if not f.endswith("_l")], *[f"ub
 
 
 # The six models: conversion rate, order size and revenue per click, by brand and by seller, each weighted by what it is measured on.
-# Order sizes are learned from ads of three orders or more in the label window (its columns are means a day).
-LABEL_DAYS = effective_days(ANCHOR, LABEL, EXCLUDED)
-SPECS = [M.ModelSpec(f"{kind}_{who}", f"sem_{kind}_{who}_l", weight.format(who), f"source_id = 2 and sem_{kind}_{who}_l between 0 and {most}",
-                     f"sem_orders_{who}_l * {LABEL_DAYS} >= 3" if kind == "ordersize" else "true")
+# As in the source, order sizes decide which rows the order size and the revenue models have; label columns without a value count as 0.
+SPECS = [M.ModelSpec(f"{kind}_{who}", f"sem_{kind}_{who}_l", weight.format(who), f"source_id = 2 and sem_{bound}_{who}_l between 0 and {most}")
          for who in ("brand", "seller")
-         for kind, weight, most in (("convrt", "sem_clicks_l", 0.3), ("ordersize", "sem_orders_{}_l", 500), ("rpc", "sem_clicks_l", 100))]
-GBT = dict(max_iter=20, max_depth=5)
+         for kind, weight, bound, most in (("convrt", "sem_clicks_l", "convrt", 0.3), ("ordersize", "sem_orders_{}_l", "ordersize", 500), ("rpc", "sem_clicks_l", "ordersize", 500))]
+#: Training rows: the source's number of ads, those of most clicks in the last window.
+TRAINING_ROWS = 500_000
 _TRAINED: dict[tuple[str, str], tuple[str, str]] = {}
 
 
+def kept_paths() -> set[str]:
+    """Trained models and text features of this process, which later queries use again."""
+    return {p for found in _TRAINED.values() for p in found} | set(_FITTED.values())
+
+
 def training_frame(spark, sf):
-    """The priced feature table with its items' text features."""
+    """The priced feature table with its items' text features and label columns filled with 0."""
     features = _text_features(spark, sf).withColumn("item_id", F.col("item_id").cast("string"))
-    return _priced(tables(spark, sf)).join(features, "item_id", "left")
+    return V.label_zero_fill(_priced(tables(spark, sf)).join(features, "item_id", "left"))
 
 
 def _trained(spark, sf):
-    """The training frame with folds and the path of the six saved models, trained once per session and folder."""
+    """The binned table and the six models of five folds, made once per session and folder; made anew if ``drop_scratch`` has deleted them."""
     key = (spark.conf.get("spark.app.id", "app"), sf)
-    if key not in _TRAINED:
-        frame, models = scratch_path(spark, "model-frame"), scratch_path(spark, "models")
-        V.fold_assign(training_frame(spark, sf), AD_KEY, 5).write.parquet(frame)
-        M.train_models(spark.read.parquet(frame), SPECS, GBT_FEATURES, models, **GBT)
-        _TRAINED[key] = frame, models
-    frame, models = _TRAINED[key]
-    return spark.read.parquet(frame), models
+    if key not in _TRAINED or not all(path_exists(spark, p) for p in _TRAINED[key]):
+        frame = V.fold_assign(materialize(training_frame(spark, sf), "model-frame"), AD_KEY, 5)
+        top = topn(frame.select(*AD_KEY, "sem_clicks_w1"), TRAINING_ROWS, [F.col("sem_clicks_w1").desc_nulls_last(), *map(F.col, AD_KEY)]).select(*AD_KEY, F.lit(True).alias("_top"))
+        marked = frame.join(top, AD_KEY, "left")
+        specs = [replace(s, train_filter=f"_top and {s.train_filter}") for s in SPECS]
+        table, models = scratch_path(spark, "model-table"), scratch_path(spark, "models")
+        M.model_table(marked, specs, GBT_FEATURES, AD_KEY, marked.where("_top")).write.parquet(table)
+        M.train_models(spark.read.parquet(table), specs, Boosting()).write.parquet(models)
+        _TRAINED[key] = table, models
+    return tuple(spark.read.parquet(p) for p in _TRAINED[key])
 
 
 @register("gbt_oof")
 def q_gbt_oof(spark, sf):
-    """Out-of-fold predictions of all six models, one row per ad that any of them learned from."""
-    mf, models = _trained(spark, sf)
-    out = None
-    for spec in SPECS:
-        part = M.out_of_fold(mf, spec, AD_KEY, GBT_FEATURES, models)
-        out = part if out is None else out.join(part, AD_KEY, "full")
-    return finalize(out)
+    """Out-of-fold predictions of all six models, one row per ad that any of them has."""
+    table, models = _trained(spark, sf)
+    return finalize(M.out_of_fold(table, models, SPECS, AD_KEY))
 
 
 @register("kfold_score")
 def q_kfold_score(spark, sf):
-    mf, models = _trained(spark, sf)
-    return finalize(M.kfold_score(mf, SPECS, AD_KEY, GBT_FEATURES, models))
+    table, models = _trained(spark, sf)
+    return finalize(M.kfold_score(table, models, SPECS, AD_KEY))
 
 
 # H10 ---------------------------------------------------------------------------
 @register("model_eval_table")
 def q_model_eval_table(spark, sf):
-    """Weighted errors of every model's out-of-fold predictions, and of last window's value, by target."""
-    mf, models = _trained(spark, sf)
-    pairs = []
-    for spec in SPECS:
-        mf = mf.join(M.out_of_fold(mf, spec, AD_KEY, GBT_FEATURES, models), AD_KEY, "left")
-        pairs += [(spec.name, "gbt", spec.target, f"oof_{spec.name}", spec.weight),
-                  (spec.name, "last_window", spec.target, f"{spec.target.removesuffix('_l')}_w1", spec.weight)]
+    """Weighted errors by target: each model out of fold, conversion rate x order size, last window's value, own, department and global means."""
+    table, models = _trained(spark, sf)
+    mf = V.label_zero_fill(stored_model_frame(tables(spark, sf))).join(M.out_of_fold(table, models, SPECS, AD_KEY), AD_KEY, "left")
+    targets = [(s.target, s.weight) for s in SPECS]
+    metrics = [t.removesuffix("_l") for t, _ in targets]
+    mf = V.baseline_dept(mf, metrics, "department_id", [f"dept_{m}" for m in metrics])
+    means = V.global_means(mf, [t for t, _ in targets])
+    mf = mf.withColumns({**{f"own_{m}": V.baseline_own(mf, m) for m in metrics}, **{f"global_{t}": means[t] for t, _ in targets},
+                         **{f"oof_composite_{who}": V.composite_rpc(f"oof_convrt_{who}", f"oof_ordersize_{who}") for who in ("brand", "seller")}})
+    pairs = [(s.name, "gbt", s.target, f"oof_{s.name}", s.weight) for s in SPECS]
+    pairs += [(f"rpc_{who}", "convrt x ordersize", f"sem_rpc_{who}_l", f"oof_composite_{who}", "sem_clicks_l") for who in ("brand", "seller")]
+    for (t, w), m, s in zip(targets, metrics, SPECS, strict=True):
+        pairs += [(s.name, "last_window", t, f"{m}_w1", w), (s.name, "own", t, f"own_{m}", w), (s.name, "department", t, f"dept_{m}", w), (s.name, "global", t, f"global_{t}", w)]
     return finalize(V.eval_table(mf, pairs))
 
 
@@ -191,17 +203,25 @@ def q_fm_regression(spark, sf):
 
 
 # H6 / C26 ----------------------------------------------------------------------
+_FITTED: dict[tuple[str, str], str] = {}
+
+
 def _text_features(spark, sf):
-    """Both texts' models, fitted once, written and used to score the items."""
+    """Both texts' features of all items; the models are fitted and the items scored once per session and folder."""
     from pyspark.ml.feature import StopWordsRemover
 
-    docs = tables(spark, sf).item_text
-    stop = StopWordsRemover.loadDefaultStopWords("english")
-    out = docs.select("item_id")
-    for column, prefix, k in TEXTS:
-        model = materialize(X.fit_text_model(docs, "item_id", column, k, stop_words=stop), f"text-{column}")
-        out = out.join(X.text_features(docs, "item_id", column, model, k, prefix, stop_words=stop), "item_id")
-    return out
+    key = (spark.conf.get("spark.app.id", "app"), sf)
+    if key not in _FITTED or not path_exists(spark, _FITTED[key]):
+        docs = spread(tables(spark, sf).item_text, "item_id")
+        stop = StopWordsRemover.loadDefaultStopWords("english")
+        out = docs.select("item_id")
+        for column, prefix, k in TEXTS:
+            model = materialize(X.fit_text_model(docs, "item_id", column, k, stop_words=stop), f"text-{column}")
+            out = out.join(X.text_features(docs, "item_id", column, model, k, prefix, stop_words=stop), "item_id")
+        path = scratch_path(spark, "text-features")
+        out.write.parquet(path)
+        _FITTED[key] = path
+    return spark.read.parquet(_FITTED[key])
 
 
 @register("text_svd")

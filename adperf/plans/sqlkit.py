@@ -79,7 +79,7 @@ group by t.ad_id, t.source_id, t.is_mobile, p_type, p_brand""",
     "predictions": """select ad_id, is_mobile, division, (clicks_l2wk % 7) / 100 as pred_convrt, 10 + clicks_l2wk % 90 as pred_ordersize
 from bid_table where source_id = 2""",
     "ab_groups": """select distinct ad_id as adid, case when length(ad_id) % 2 = 0 then '1' else '0' end as grp from bid_table""",
-    "item_text": """select doc_id as item_id, concat_ws(' ', lang, source) as item_name, text as item_short_desc from documents""",
+    "item_text": """select doc_id as item_id, split_part(text, '.', 1) as item_name, text as item_short_desc from documents""",
     "channel_params": """select 1 as customer_id, '^2{9}[0-9]+$' as id_regex, 10 as channel_pos, 10 as adid_length""",
     "ad_item_xref": """select cast(concat('80', cast(p_partkey as varchar)) as bigint) as legacy_id, cast(p_partkey as varchar) as item_id from part""",
     "traffic_flat": f"""select ds as day, source_id, is_mobile, is_pla, structure_version, {CAMPAIGN} as campaign, ad_id, split_part(ad_id, '_', 1) as item_id, seller_id,

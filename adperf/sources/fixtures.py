@@ -46,6 +46,11 @@ DAY_COLUMN = {"traffic_daily": "ds", "attributed_14d": "ad_date", "ad_hierarchy_
               "attributed_gmv": "ad_date"}
 
 
+def stored_paths() -> set[str]:
+    """Where ``TestTables.store`` has written."""
+    return set(_STORED.values())
+
+
 def stored(fn):
     """The stored table if ``TestTables.store`` has written one, else the adapter's lazy frame (no job runs here)."""
     name = fn.__name__
@@ -341,5 +346,5 @@ class TestTables:
     @stored
     def item_text(self) -> DataFrame:
         d = self.raw("documents")
-        return d.select(F.col("doc_id").alias("item_id"), F.concat_ws(" ", "lang", "source").alias("item_name"),
+        return d.select(F.col("doc_id").alias("item_id"), F.split_part("text", F.lit("."), F.lit(1)).alias("item_name"),
                         F.col("text").alias("item_short_desc"))
