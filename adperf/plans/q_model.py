@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from adperf.functions.exprs import AD_KEY, local_day_exact, local_day_fixed
-from adperf.functions.windows import as_date
+from adperf.functions.metrics import metric_spec, metric_sql
+from adperf.functions.windows import anchor_days, effective_days
+from adperf.operators import daily as D
 from adperf.operators import evaluate as V
 from adperf.operators import model as M
+from adperf.operators import signals as S
 from adperf.operators import text as X
 from adperf.operators.boost import Boosting
-from adperf.operators.features import multi_anchor_sums
 from adperf.operators.ordering import topn
 from adperf.operators.signals import CATALOG_TEXT
 from adperf.plans.common import UNIVERSE_FIXTURES, tables, universe, universe_sql
 from adperf.plans.finalize import finalize
-from adperf.plans.params import ANCHOR, EXCLUDED, SITE_WINDOWS, W1
+from adperf.plans.params import ANCHOR, EXCLUDED, FEATURE_WINDOWS, LABEL, SITE_WINDOWS
 from adperf.plans.q_eval import FEATS, model_frame, stored_model_frame
 from adperf.plans.q_merge import BC, SITE, UBER, WP_COLS, _priced
 from adperf.plans.sqlkit import d, final, fixtures, win
@@ -48,23 +49,44 @@ SQL["local_day"] = """select event_id, cast(cast(ts - interval 7 hour as date) a
 
 
 # G2 / B30 ----------------------------------------------------------------------
-SNAPSHOTS = [as_date(ANCHOR), as_date(ANCHOR) - dt.timedelta(days=14)]
+# The start day and four earlier ones. Labels carry the name of their week count until the snapshots are joined.
+SNAPSHOTS = anchor_days(ANCHOR)
+SNAPSHOT_WINDOWS = [replace(LABEL, name="l3"), *FEATURE_WINDOWS[1:]]
 
 
 @register("snapshot_union")
 def q_snapshot_union(spark, sf):
-    t = tables(spark, sf).traffic_daily
-    return finalize(multi_anchor_sums(t, anchors=SNAPSHOTS, window=W1, excluded=EXCLUDED,
-                                      measures=["clicks", "gmv", "adspend"]))
+    """All windows of five snapshots from daily sums: the first month by month, the others from the months it has; rows with a revenue label."""
+    t = tables(spark, sf)
+    paths = {day: scratch_path(spark, f"daily-{day}") for day in ("ds", "ad_date")}
+    feeds = {"ds": (t.traffic_daily, S.TRAFFIC_MEASURES), "ad_date": (t.attributed_14d, S.ATTR_MEASURES)}
+    lo, hi = D.span(SNAPSHOTS, SNAPSHOT_WINDOWS)
+    for day, (facts, measures) in feeds.items():
+        for anchor in SNAPSHOTS:
+            D.add_days(facts, paths[day], day, measures, *D.span([anchor], SNAPSHOT_WINDOWS))
+    days = [D.read_days(spark, paths[day], lo, hi) for day in feeds]
+    rows = D.renamed_labels(D.anchored_features(*days, anchors=SNAPSHOTS, windows=SNAPSHOT_WINDOWS, excluded=EXCLUDED))
+    return finalize(rows.where("sem_rpc_brand_l is not null or sem_rpc_seller_l is not null"))
 
 
 def _snap_sql():
-    parts = []
-    for a in SNAPSHOTS:
-        parts.append(f"""select {d(a)} as snapshot_date, ad_id, source_id, is_mobile, sum(clicks) as clicks, sum(gmv) as gmv,
-  sum(adspend) as adspend from traffic_daily where {win('ds', W1, EXCLUDED, a.isoformat())} group by all""")
-    return final(f"with {fixtures('traffic_daily')}\n" + " union all ".join(parts),
-                 floats=["clicks", "gmv", "adspend"], dates=["snapshot_date"])
+    """Each snapshot and window by itself, put side by side over the ads with label traffic."""
+    ctes, parts = [], []
+    for i, anchor in enumerate(SNAPSHOTS):
+        joins, cols = [], []
+        for w in FEATURE_WINDOWS:
+            n = f"s{i}_{w.name}"
+            for feed, day, measures in (("traffic_daily", "ds", S.TRAFFIC_MEASURES), ("attributed_14d", "ad_date", S.ATTR_MEASURES)):
+                ctes.append(f"{n}_{day} as (select ad_id, source_id, is_mobile, {', '.join(f'sum({m}) as {m}' for m in measures)} from {feed} "
+                            f"where {win(day, w, EXCLUDED, anchor.isoformat())} group by all)")
+                if w.name != "l" or day != "ds":
+                    joins.append(f"left join {n}_{day} on k.ad_id = {n}_{day}.ad_id and k.source_id = {n}_{day}.source_id and k.is_mobile = {n}_{day}.is_mobile")
+            t = "k" if w.name == "l" else f"{n}_ds"
+            base = {m: f"{t}.{m}" for m in S.TRAFFIC_MEASURES} | {m: f"case when {t}.ad_id is not null then {n}_ad_date.{m} end" for m in S.ATTR_MEASURES}
+            cols += metric_sql(metric_spec(("brand", "seller")), base, str(effective_days(anchor, w, EXCLUDED)), "sem_", f"_{w.name}")
+        parts.append(f"select {d(anchor)} as snapshot_date, k.ad_id, k.source_id, k.is_mobile, {', '.join(cols)} from s{i}_l_ds k {' '.join(joins)}")
+    rows = " union all ".join(f"(select * from ({p}) where sem_rpc_brand_l is not null or sem_rpc_seller_l is not null)" for p in parts)
+    return final(f"with {fixtures('traffic_daily', 'attributed_14d')}, {', '.join(ctes)} select * from ({rows})", floats=FEATS, dates=["snapshot_date"])
 
 
 SQL["snapshot_union"] = _snap_sql()
