@@ -8,6 +8,7 @@ around a hit is verified with Myers' bit-parallel edit distance.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,10 +27,13 @@ HITS = "array<struct<item_id:long,distance:int,start:int,end:int>>"
 Items = tuple[tuple[int, str], ...]
 
 
+#: Each character's lower case, where that is one character.
+_LOWER = {c: low for c in range(sys.maxunicode + 1) if (low := chr(c).lower()) != chr(c) and len(low) == 1}
+
+
 def same_length_lower(text: str) -> str:
-    """Lower case, or A-Z in lower case if other letters would change the length."""
-    low = text.lower()
-    return low if len(low) == len(text) else text.translate({x: x + 32 for x in range(65, 91)})
+    """Lower case, character by character: one whose lower case is longer stays, and so do all places."""
+    return text.lower() if text.isascii() else text.translate(_LOWER)
 
 
 def pieces(item: str, errors: int) -> list[tuple[int, str]]:

@@ -1,7 +1,8 @@
 """Operator 1: document fingerprints by winnowing, DataFrame functions only.
 
-Tokens are runs of other characters than white space, cut at 16. A gram is GRAM
-tokens, hashed by a cyclic polynomial, which rolls: the hash of a gram is made
+Tokens are runs of up to 16 other characters than white space, and the single
+characters of longer runs, so that a passage of a text without spaces has the
+same tokens wherever it stands. A gram is GRAM tokens, hashed by a cyclic polynomial, which rolls: the hash of a gram is made
 of the hashes of its two halves by a rotation and an exclusive or. Of each
 WINDOW grams in a row the one of least hash is kept with its position, the
 rightmost of equal ones. Two texts with WINDOW + GRAM - 1 tokens in common, in a
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from adperf.llm.common import stored
 from adperf.llm.order import cyclic_next
 
-TOKEN = r"[^\x20\x09-\x0D]{1,16}"
+TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{1,16}(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D]"
 GRAM, WINDOW = 5, 8
 #: Low bits of a key, which hold a gram's position counted backwards; the others hold its hash.
 POSITION_BITS = 26

@@ -9,6 +9,7 @@ wins, and a narrow margin is a rejection.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -16,10 +17,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Sample per language: this many slots, each filled by one labelled document, of which up to SNIPPET characters are kept.
+#: Sample per language: this many slots, each filled by one labelled document, of which up to SNIPPET characters in a row are kept.
 SLOTS = 256
 SNIPPET = 512
-NO_LETTERS = re.compile(r"[\W\d_]+")
+# Number signs such as fractions and circled digits, which \w holds and \d does not, are no letters.
+_NUMBER_SIGNS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+NO_LETTERS = re.compile(rf"[\W\d_{_NUMBER_SIGNS}]+")
 #: Texts are compressed in blocks of so many bytes, each against the whole dictionary.
 BLOCK = 4096
 #: zstandard level of blocks, and of texts under SHORT bytes, where each byte decides (matches of three bytes count there).
@@ -43,13 +46,16 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Dictionary bytes by language, from documents that are not held out and have a label and a letter.
 
     A document falls into a slot by a hash of its text; of the documents of a
-    (language, slot) the one with the smallest second hash is kept, from the
-    start of its text. The sample is ``slots`` snippets a language whatever the
+    (language, slot) the one with the smallest hash is kept, from a place in its
+    text that another hash chooses. The sample is ``slots`` snippets a language whatever the
     input, and partial aggregation makes hot languages cheap. Empty input gives
     no language.
     """
     train = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    rows = (train.select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), F.substring(text_col, 1, snippet).alias("s"))
+    text = F.col(text_col)
+    places = F.greatest(F.char_length(text) - snippet, F.lit(0)) + 1
+    block = text.substr(F.pmod(F.xxhash64(F.lit("place"), text), places).cast("int") + 1, F.lit(snippet))
+    rows = (train.select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), block.alias("s"))
             .groupBy("lang", F.pmod("h", F.lit(slots)).alias("slot")).agg(F.min(F.struct("h", "s")).alias("x"))
             .select("lang", "slot", "x.s").collect())
     out: dict[str, list[str]] = {}

@@ -249,7 +249,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Each byte in a ``length``-byte string that starts anywhere else too, in any
     document or the same one, is removed; strings are judged on the input. Null and empty texts
     and those shorter than ``length`` stay as they are. Each repeated row
-    counts as a document of its own. ``kept`` leaves out bytes of characters that were cut through.
+    counts as a document of its own, with or without an id. ``kept`` leaves out bytes of characters that were cut
+    through. Columns of docs that are named like those of the result, or row, marks or spans, are dropped.
 
     Texts are shuffled once, by id and compressed, and that exchange is read
     twice: for the bytes of the segments that are sorted and for the removal. Until
@@ -263,7 +264,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     clash = [c for c in docs.columns if c in ("row", "marks", "spans", *(x.split(" ")[0] for x in OUT.split(", "))) and c not in (id_col, text_col)]
     docs = docs.drop(*clash)
     others = [c for c in docs.columns if c != text_col]
-    row = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("row")
+    row = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.lit("no id"), F.col(text_col))).alias("row")  # rows without an id are not one group
     rows = docs.select(*others, row, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     marks = rows.where(F.octet_length("text") >= length).select("row", "text").mapInArrow(_find_minimizers(length, gram), "h long, segment long, row long, place long")

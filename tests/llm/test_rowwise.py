@@ -158,6 +158,25 @@ def test_language_held_out_accuracy(spark, no_docs):
     assert language_id.language_id(no_docs).count() == 0
 
 
+def test_only_letters_count_as_letters(spark):
+    rows = [(1, "and the others of them", "en"), (3, "und die anderen von ihnen", "de"), (4, "\u00bd \u00b2", None), (5, "\u2460 \u2461", None), (6, "12 \u0663\u0664 \u2167", None), (7, "_ \u0301", None), (8, "\u00aa", None), (9, "\u4e00", None)]
+    got = {g.doc_id: g for g in language_id.language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all((got[i].lang_pred, got[i].score, got[i].rejected) == ("und", 0.0, True) for i in (4, 5, 6, 7))
+    assert all(got[i].lang_pred in ("en", "de") for i in (1, 3, 8, 9))
+    for c in map(chr, range(0x3000)):
+        assert bool(language_id.letters(c)) == c.isalpha(), c
+
+
+def test_samples_are_blocks_of_whole_texts(spark):
+    """Each sample is a stretch of a text, and texts are cut at many places."""
+    texts = ["".join(f" {chr(97 + i % 26)}{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}" for k in range(600)) for i in range(40)]
+    docs = spark.createDataFrame([(4 * i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    model = language_id.fit(docs, slots=4096, snippet=100)["en"].decode().split("\n")
+    whole = [language_id.letters(t) for t in texts]
+    assert len(model) > 20 and all(any(m in t for t in whole) for m in model)
+    assert len({next(t.index(m) for t in whole if m in t) for m in model}) > 10
+
+
 def test_language_without_labels_is_undetermined(spark):
     df = spark.createDataFrame([(1, "some words", None)], "doc_id long, text string, lang string")
     assert language_id.language_id(df).first().lang_pred == "und"

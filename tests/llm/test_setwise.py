@@ -55,6 +55,21 @@ def test_match_guarantee(spark):
     assert all(a & b for a in kept for b in kept)
 
 
+def test_match_guarantee_without_spaces(spark):
+    """A passage without any space, at places that differ in every remainder; a long run beside short ones; a text of one long run."""
+    rng = random.Random(4)
+    shared = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(400))
+    other = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+    texts = [other(50 + i) + shared + other(40) for i in range(17)] + [f"{words(rng, 20)} {shared}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = [set(r.h) for r in fingerprints.winnow(df, "text", "keys").select(fingerprints.hashes(F.col("keys")).alias("h")).collect()]
+    assert all(len(a & b) > 50 for a in kept for b in kept)
+    near = fingerprints.fingerprints(df).collect()
+    assert all(g.near_next > 0.4 for g in near if g.doc_id < 16)
+    tokens = spark.createDataFrame([("a" * 16 + " " + "b" * 17 + "\tc",)], "t string").select(F.regexp_extract_all("t", F.lit(fingerprints.TOKEN), F.lit(0))).first()[0]
+    assert tokens == ["a" * 16, *"b" * 17, "c"]
+
+
 def test_fingerprints(docs, rows, no_docs):
     text = {r[0]: r[1] or "" for r in rows}
     ids = sorted(text)
@@ -221,6 +236,14 @@ def test_substring_dedup_odd_tables(spark, no_docs):
     assert got == [("1", 0, 0, 0), ("1", 5, 0, 0), ("1", 301, 300, 1), ("None", 250, 250, 1), ("None", 300, 300, 1)]
 
 
+def test_substring_dedup_of_rows_without_an_id(spark):
+    rng = random.Random(7)
+    passage = words(rng, 60)
+    texts = [None, "", *(f"{words(rng, 40)} {passage if i % 3 else ''} {words(rng, 30)}" for i in range(120))] + [passage] * 3
+    got = sorted(tuple(g)[1:5] for g in substring_dedup.substring_dedup(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")).collect())
+    assert got == sorted(x[:4] for x in without_repeats(texts, substring_dedup.LENGTH))
+
+
 def test_segments_cover_each_string_once():
     rng = np.random.default_rng(2)
     data = rng.integers(97, 100, 5000).astype(np.uint8)
@@ -249,6 +272,17 @@ def edited(rng, text, errors):
     return "".join(x)
 
 
+def test_lower_case_is_by_character(spark):
+    """One letter whose lower case is longer changes nothing for the others, on either side; sigma has one lower case."""
+    item = "\u043f\u0440\u0438\u0432\u0435\u0442 \u043c\u0438\u0440 \u03c3\u03b1\u03c3 " * 4
+    bench = spark.createDataFrame([(1, item), (2, "\u0130stanbul " + "words of an item in it " * 3)], "item_id long, text string")
+    texts = [item.upper(), "\u0130 " + item.upper() + " end", "\u0130stanbul " + "WORDS OF AN ITEM IN IT " * 3, "\u0130 nothing of the sort"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((g.doc_id, g.item_id, g.distance) for g in decontaminate.contamination(df, bench).collect())
+    assert got == [(0, 1, 0), (1, 1, 0), (2, 2, 0)]
+    assert all(len(decontaminate.same_length_lower(t)) == len(t) for t in texts)
+
+
 def test_contamination(spark, no_docs):
     rng = random.Random(10)
     items = [(i, words(rng, rng.randint(10, 60))) for i in range(12)] + [(50, None), (51, "  "), (52, "tiny item")]
