@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adperf.functions.exprs import c, ratio
+from adperf.operators.ordering import ranked_values
 
 
 # ------------------------------------------------------------- row-level gates
@@ -149,25 +150,20 @@ def histogram(df: DataFrame, x: str, bins: int = 100, lo: float | None = None, h
     return df.where(v.isNotNull()).groupBy(b.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def numeric_summary(df: DataFrame, cols: list[str], quartiles: bool = False, approximate: bool = False) -> DataFrame:
-    """Count, mean, sample std, min, max per column, one row each (op D25), in a single pass.
-
-    Quartiles, when asked for, are exact (``percentile``, interpolated): its
-    buffer counts distinct values, so it suits columns of bounded precision; for
-    others pass ``approximate=True`` (a mergeable sketch).
-    """
+def numeric_summary(df: DataFrame, cols: list[str], quartiles: bool = False) -> DataFrame:
+    """Count, mean, sample std, min, max per column, one row each (op D25), in a single pass; quartiles, when asked for, are exact (``ranked_values``)."""
     aggs = []
     for i, x in enumerate(cols):
         aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).cast("double").alias(f"lo{i}"), F.max(x).cast("double").alias(f"hi{i}")]
-        if quartiles:
-            for name, q in (("q25_", 0.25), ("q50_", 0.5), ("q75_", 0.75)):
-                aggs.append((F.percentile_approx(x, q, 10000) if approximate else F.percentile(x, q)).cast("double").alias(f"{name}{i}"))
-    fields = ["count", "mean", "std", "min", "max"] + (["q25", "q50", "q75"] if quartiles else [])
-    rows = [F.struct(F.lit(x).alias("column"), *[F.col(f"{p}{i}").alias(f) for p, f in
-                                                  zip(["c", "m", "s", "lo", "hi", "q25_", "q50_", "q75_"], fields)])
+    rows = [F.struct(F.lit(x).alias("column"), *[F.col(f"{p}{i}").alias(f) for p, f in zip(["c", "m", "s", "lo", "hi"], ["count", "mean", "std", "min", "max"])])
             for i, x in enumerate(cols)]
-    return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    out = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    if not quartiles:
+        return out
+    shares = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    found = ranked_values(df, cols, list(shares.values())).groupBy("column").agg(*[F.max(F.when(F.col("share") == q, F.col("value"))).alias(n) for n, q in shares.items()])
+    return out.join(found, "column", "left").select(*out.columns, *shares)
 
 
 def linear_fit(df: DataFrame, y: str, x: str) -> DataFrame:

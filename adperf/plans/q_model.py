@@ -130,7 +130,7 @@ ENC = ["brand", "department_id"]
 
 @register("label_encode")
 def q_label_encode(spark, sf):
-    u = universe(tables(spark, sf)).select(*AD_KEY, *ENC)
+    u = materialize(universe(tables(spark, sf)).select(*AD_KEY, *ENC), "universe")  # read for each column's labels and codes
     return finalize(M.label_encode(u, ENC))
 
 
