@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 #: Sample per language: this many slots, each filled by one labelled document, of which up to SNIPPET characters in a row are kept.
 SLOTS = 256
 SNIPPET = 512
+NO_LETTERS = re.compile(r"[\W\d_]+")
 # Number signs such as fractions and circled digits, which \w holds and \d does not, are no letters.
-_NUMBER_SIGNS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-NO_LETTERS = re.compile(rf"[\W\d_{_NUMBER_SIGNS}]+")
+_NUMBER_SIGNS = {c: " " for c in range(sys.maxunicode + 1) if chr(c).isalnum() and not chr(c).isalpha() and not chr(c).isdecimal()}
 #: Texts are compressed in blocks of so many bytes, each against the whole dictionary.
 BLOCK = 4096
 #: zstandard level of blocks, and of texts under SHORT bytes, where each byte decides (matches of three bytes count there).
@@ -39,7 +39,8 @@ def held_out(id_col: str | Column = "doc_id") -> Column:
 
 def letters(text: str) -> str:
     """The text in lower case with a space for each run of other characters than letters: layout and shouting say nothing of a language."""
-    return NO_LETTERS.sub(" ", text.lower()).strip()
+    low = text.lower()
+    return NO_LETTERS.sub(" ", low if low.isascii() else low.translate(_NUMBER_SIGNS)).strip()
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", slots: int = SLOTS, snippet: int = SNIPPET) -> dict[str, bytes]:
