@@ -2,9 +2,12 @@
 
 Shape of the plan: both touch feeds are parsed with built-in string functions
 (no UDF), channel codes are decoded by one broadcast join to a fixed channel
-dimension, the feeds are merged with a full outer join on the touch key, and
-touches meet order lines on the order number. Claimant counts are one window
-over the order line (already clustered by the order join), not seven joins.
+dimension, and the feeds are merged with a full outer join on the touch key.
+Brands and promo events are attached to touches and to lines before the two
+meet. Touches are counted by (order, relation, value) and lines look their
+counts up; only related pairs of touch and line are ever made, by one join on
+(order, relation, value), so an order with many touches and many lines is no
+product.
 """
 
 from __future__ import annotations
@@ -61,19 +64,23 @@ def channel_params_cols(params: DataFrame) -> dict[str, Column]:
 
 
 def parse_visits(visits: DataFrame, params: DataFrame) -> DataFrame:
-    """Visit-side touches: ad id, channel, item, seller, structure from tracking id and URL (ops B21, B22)."""
+    """Visit-side touches: ad id, channel, item, seller, structure from tracking id and URL (ops B21, B22).
+
+    A tracking id of no known form gives way to the reflector id; a visit without a tracking id is no touch.
+    """
     p = channel_params_cols(params)
     tid = F.col("tracking_id")
     pos, length = p["channel_pos"], p["adid_length"]
     is_pla, is_lia = tid.rlike(PLA_ID), tid.rlike(LIA_ID)
     legacy = F.regexp_like(tid, p["id_regex"])
-    tail = F.substr(tid, pos + 2)
-    adid = (F.when(is_pla | is_lia, tail).when(legacy, _int_text(F.substr(tid, pos + 2, length))))
-    channel = F.when(is_pla | is_lia | legacy, _int_text(F.substr(tid, pos, F.lit(2))))
+    rid = F.col("reflector_id")
+    adid = (F.when(is_pla | is_lia, F.substr(tid, pos + 2)).when(legacy, _int_text(F.substr(tid, pos + 2, length)))
+            .otherwise(_int_text(F.substr(rid, pos + 2, length))))
+    channel = _int_text(F.substr(F.when(is_pla | is_lia | legacy, tid).otherwise(rid), pos, F.lit(2)))
     item_url = F.coalesce(url_param("page_url", "wl12"), F.lit(""))
     seller_url = F.coalesce(url_param(F.lower("page_url"), "selectedsellerid"), F.lit("0"))
-    out = visits.where(F.length(item_url) > 2).select(
-        "order_no", "order_date", F.col("visit_day").alias("ad_date"), "tracking_id", adid.alias("adid"),
+    out = visits.where(tid.isNotNull() & (F.length(item_url) > 2)).select(
+        "order_no", "page_url", "visit_epoch", "order_date", F.col("visit_day").alias("ad_date"), "tracking_id", adid.alias("adid"),
         channel.alias("channel_id"),
         F.when(is_pla, F.get(F.split(adid, "_"), 0)).otherwise(F.get(F.split(item_url, "_"), 0)).alias("item_ad"),
         F.coalesce(F.when(is_pla, F.get(F.split(adid, "_"), 1)).otherwise(seller_url), F.lit("0")).alias("seller_ad"),
@@ -92,6 +99,7 @@ def parse_referrers(last_ref: DataFrame, params: DataFrame, legacy_xref: DataFra
     adid = F.when(is_pla | is_lia, tail).when(legacy, _int_text(F.substr(rid, pos + 2, length))).otherwise(tail)
     refs = last_ref.select(
         "order_no", "order_date", F.col("created_on").alias("ad_date"), adid.alias("adid"),
+        F.lit(None).cast("string").alias("page_url"), F.lit(None).cast("bigint").alias("visit_epoch"),
         _int_text(F.substr(rid, pos, F.lit(2))).alias("channel_id"),
         F.when(is_pla | is_lia, F.get(F.split(adid, "_"), 0)).alias("item_ad"),
         F.when(is_pla, F.get(F.split(adid, "_"), 1)).otherwise(F.lit("0")).alias("seller_ad"),
@@ -125,7 +133,8 @@ def valid_orders_semi(visits: DataFrame, refs: DataFrame) -> DataFrame:
 
 
 TOUCH_KEY = ["order_no", "channel_id", "adid", "order_date"]
-TOUCH_ATTRS = ["ad_date", "item_ad", "seller_ad", "f_nas", "is_pla", "source_id", "is_mobile", "is_target_all"]
+TOUCH_ATTRS = ["ad_date", "item_ad", "seller_ad", "f_nas", "is_pla", "source_id", "is_mobile", "is_target_all",
+               "page_url", "visit_epoch"]
 
 
 def touch_merge(visits: DataFrame, refs: DataFrame) -> DataFrame:
@@ -151,11 +160,14 @@ def order_lines(order_items: DataFrame) -> DataFrame:
     return order_items.groupBy(F.col("order_nbr").alias("order_no"), "order_line_nbr").agg(
         F.sum("gmv_plcd").alias("gmv_plcd"), F.sum("gmv_order").alias("gmv_order"),
         F.max(brand_norm("brand")).alias("purchase_brand"), F.max("item_id").alias("item_purchase"),
-        F.max("seller_id").alias("seller_purchase"))
+        F.max("seller_id").alias("seller_purchase"), F.max("fulfilment").alias("fulfilment"))
 
 
 def touch_lines(touches: DataFrame, lines: DataFrame) -> DataFrame:
-    """Every touch of an order meets every line of it (op C18)."""
+    """Every touch of an order meets every line of it (op C18).
+
+    The plain product, for whoever wants all pairs; ``attribution`` makes only the related ones.
+    """
     return touches.join(lines, "order_no", "inner")
 
 
@@ -168,18 +180,26 @@ def promo_tables(promo: DataFrame) -> tuple[DataFrame, DataFrame]:
     return item_level, offer_level
 
 
-def promo_lookup(pairs: DataFrame, promo: DataFrame) -> DataFrame:
-    """Offer-level event id first, item-level second, for the ad and the purchase side (op C19, S16)."""
+def promo_event(df: DataFrame, promo: DataFrame, side: str) -> DataFrame:
+    """``event_<side>``: the offer-level event id of (item, seller) first, the item-level one second (op C19, S16)."""
+    item, seller = f"item_{side}", f"seller_{side}"
     item_level, offer_level = promo_tables(promo)
-    out = pairs
-    for side, item, seller in (("ad", "item_ad", "seller_ad"), ("purchase", "item_purchase", "seller_purchase")):
-        il = item_level.select(F.col("item_id").alias("_i"), F.col("event_item").alias("_ei"))
-        ol = offer_level.select(F.col("item_id").alias("_oi"), F.col("seller_id").alias("_os"),
-                                F.col("event_offer").alias("_eo"))
-        out = (out.join(il, F.col(item) == F.col("_i"), "left")
-               .join(ol, (F.col(item) == F.col("_oi")) & (F.col(seller) == F.col("_os")), "left")
-               .withColumn(f"event_{side}", F.coalesce("_eo", "_ei")).drop("_i", "_ei", "_oi", "_os", "_eo"))
-    return out
+    il = item_level.select(F.col("item_id").alias("_i"), F.col("event_item").alias("_ei"))
+    ol = offer_level.select(F.col("item_id").alias("_oi"), F.col("seller_id").alias("_os"), F.col("event_offer").alias("_eo"))
+    return (df.join(il, F.col(item) == F.col("_i"), "left")
+            .join(ol, (F.col(item) == F.col("_oi")) & (F.col(seller) == F.col("_os")), "left")
+            .withColumn(f"event_{side}", F.coalesce("_eo", "_ei")).drop("_i", "_ei", "_oi", "_os", "_eo"))
+
+
+def ad_side(touches: DataFrame, item_brands: DataFrame, promo: DataFrame) -> DataFrame:
+    """Touches with the advertised item's brand and event; ``item_brands`` holds one row an item."""
+    brands = item_brands.select(F.col("item_id").alias("item_ad"), F.col("brand").alias("ad_brand"))
+    return promo_event(touches.join(brands, "item_ad", "left"), promo, "ad")
+
+
+def purchase_side(lines: DataFrame, promo: DataFrame) -> DataFrame:
+    """Order lines with the purchased item's event."""
+    return promo_event(lines, promo, "purchase")
 
 
 def _eq_flag(a: str, b: str) -> Column:
@@ -199,13 +219,64 @@ def relation_flags(pairs: DataFrame) -> DataFrame:
     return df.where(F.col("same_item") + F.col("same_brand") + F.col("same_coop") + F.col("same_seller") > 0)
 
 
-def claimant_counts(flagged: DataFrame) -> DataFrame:
-    """Per order line, how many touches claim it under each relation; 0 where the row's flag is 0 (ops C20, D15).
+# Relation -> its column on the ad side and on the purchase side, in the order in which a pair is given to one of them.
+SIDES = {"item": ("item_ad", "item_purchase"), "brand": ("ad_brand", "purchase_brand"),
+         "coop": ("event_ad", "event_purchase"), "seller": ("seller_ad", "seller_purchase")}
+
+
+def _values(side: int, relations: list[str]) -> dict[str, Column]:
+    """The text by which a touch (side 0) or a line (side 1) takes part in each relation; null if it cannot."""
+    one = lambda r: F.col(SIDES[r][side]).cast("string")
+    seller = one("seller")
+    with_seller = lambda r: F.concat(F.length(seller).cast("string"), F.lit(":"), seller, one(r))
+    return {r: one(r) if r in SIDES else with_seller(r.removeprefix("seller_")) for r in relations}
+
+
+def by_relation(df: DataFrame, side: int, relations: list[str]) -> DataFrame:
+    """A row of df once per relation in which it has a value, with columns ``relation`` and ``value``."""
+    keys = F.array(*[F.struct(F.lit(r).alias("relation"), v.alias("value")) for r, v in _values(side, relations).items()])
+    return df.select("*", F.inline(F.filter(keys, lambda k: k["value"].isNotNull())))
 
-    One window over (order, line) replaces seven joins. The rows arrive hash
-    partitioned by order from the touch-line join, which already clusters
-    every line, so the window adds no shuffle (and no new skew exposure).
+
+RELATION_KEY = ["order_no", "relation", "value"]
+
+
+def claimed_lines(touches: DataFrame, lines: DataFrame) -> DataFrame:
+    """Lines that some touch of their order is related to, with ``_n_<relation>`` touches each (ops C20, D15).
+
+    Touches are counted by (order, relation, value), which combines map-side;
+    a line looks up at most seven counts. No pair is made.
     """
+    counts = by_relation(touches, 0, FLAGS).groupBy(*RELATION_KEY).agg(F.count(F.lit(1)).alias("_n"))
+    key = ["order_no", "order_line_nbr"]
+    rest = [c for c in lines.columns if c not in key]
+    seen = by_relation(lines, 1, FLAGS).join(counts, RELATION_KEY)
+    out = seen.groupBy(*key).agg(F.first(F.struct(*rest)).alias("_line"), *[
+        F.max(F.when(F.col("relation") == f, F.col("_n"))).alias(f"_n_{f}") for f in FLAGS])
+    return out.select(*key, "_line.*", *[f"_n_{f}" for f in FLAGS])
+
+
+def related_pairs(touches: DataFrame, lines: DataFrame) -> DataFrame:
+    """Pairs of a touch and a line of its order with at least one relation, and their flags (ops C18, B26, B27).
+
+    Both sides meet on (order, relation, value); a pair with several relations
+    stays under the first of them, so each pair comes out once.
+    """
+    base = list(SIDES)
+    met = relation_flags(by_relation(touches, 0, base).join(by_relation(lines, 1, base), RELATION_KEY))
+    first = F.coalesce(*[F.when(F.col(f"same_{r}") == 1, F.lit(r)) for r in base])
+    return met.where(F.col("relation") == first).drop("relation", "value")
+
+
+def claims(touches: DataFrame, lines: DataFrame) -> DataFrame:
+    """Related pairs with ``num_claimants_<relation>``: touches that claim the line under it, 0 where the flag is 0."""
+    pairs = related_pairs(touches, claimed_lines(touches, lines))
+    return pairs.withColumns({f"num_claimants_{f}": F.when(F.col(f"same_{f}") == 1, F.col(f"_n_{f}"))
+                              .otherwise(F.lit(0).cast("bigint")) for f in FLAGS}).drop(*[f"_n_{f}" for f in FLAGS])
+
+
+def claimant_counts(flagged: DataFrame) -> DataFrame:
+    """The counts of ``claims`` from pairs that are already there: one window over the order line."""
     line = Window.partitionBy("order_no", "order_line_nbr")
     return flagged.withColumns({
         f"num_claimants_{f}": F.when(F.col(f"same_{f}") == 1, F.sum(f"same_{f}").over(line).cast("bigint"))
@@ -214,7 +285,8 @@ def claimant_counts(flagged: DataFrame) -> DataFrame:
 
 OUTPUT = ["order_no", "order_line_nbr", "order_date", "ad_date", "adid", "channel_id", "source_id", "is_pla",
           "is_mobile", "is_target_all", "f_nas", "item_ad", "seller_ad", "ad_brand", "item_purchase", "seller_purchase",
-          "purchase_brand", "purchase_1p", "event_ad", "event_purchase", "gmv_plcd", "gmv_order",
+          "purchase_brand", "purchase_1p", "event_ad", "event_purchase", "gmv_plcd", "gmv_order", "fulfilment",
+          "page_url", "visit_epoch", "days_before",
           *[f"same_{f}" for f in FLAGS], *[f"num_claimants_{f}" for f in FLAGS]]
 
 
@@ -223,9 +295,6 @@ def attribution(visits: DataFrame, last_ref: DataFrame, params: DataFrame, legac
     """The whole order-attribution pipeline (op J1)."""
     refs = decoded_referrers(last_ref, params, legacy_xref)
     vis = valid_orders_semi(decoded_visits(visits, params), refs)
-    touches = canonical_offer(touch_merge(vis, refs), xref)
-    pairs = touch_lines(touches, order_lines(order_items))
-    pairs = pairs.join(item_brands.select(F.col("item_id").alias("item_ad"), F.col("brand").alias("ad_brand")),
-                       "item_ad", "left")
-    flagged = relation_flags(promo_lookup(pairs, promo))
-    return claimant_counts(flagged).select(*OUTPUT)
+    touches = ad_side(canonical_offer(touch_merge(vis, refs), xref), item_brands, promo)
+    out = claims(touches, purchase_side(order_lines(order_items), promo))
+    return out.withColumn("days_before", F.datediff("order_date", "ad_date")).select(*OUTPUT)

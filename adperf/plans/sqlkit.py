@@ -57,17 +57,19 @@ from session_events group by session_id, dt""",
 from lineitem""",
     "order_items": """select l_orderkey as order_nbr, l_linenumber as order_line_nbr, cast(l_partkey as varchar) as item_id,
   cast(l_suppkey % 3 as varchar) as seller_id, p_brand as brand, l_extendedprice as gmv_plcd,
-  l_extendedprice * (1 - l_discount) as gmv_order, cast(o_orderdate as date) as order_date
+  l_extendedprice * (1 - l_discount) as gmv_order, l_returnflag as fulfilment, cast(o_orderdate as date) as order_date
 from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey""",
-    "order_visit_chain": """select l_orderkey as order_no, cast(o_orderdate as date) as order_date,
-  cast(o_orderdate as date) - cast(l_quantity % 20 as int) as visit_day,
+    "order_visit_chain": """select l_orderkey as order_no, order_date, visit_day,
+  cast(datediff('day', date '1970-01-01', visit_day) as bigint) * 86400 + l_linenumber * 3600 as visit_epoch,
+  case when l_linenumber = 7 then concat('r', cast(l_orderkey as varchar)) else id_made end as tracking_id, id_made as reflector_id,
+  concat('http://shop.example/ip?wl12=', cast(l_partkey as varchar), '_0&selectedsellerid=', cast(l_suppkey % 3 as varchar)) as page_url
+from (select *, cast(o_orderdate as date) as order_date, cast(o_orderdate as date) - cast(l_quantity % 20 as int) as visit_day,
   case when l_linenumber <= 3 then concat('222222222', case when l_linenumber = 1 then '27' when l_linenumber = 2 then '22' else '81' end,
          cast(l_partkey as varchar), '_', cast(l_suppkey % 3 as varchar), '_1_1')
        when l_linenumber <= 5 then concat('222222222', '37', cast(l_partkey as varchar), '_1_1')
-       else concat('2222222222280', cast(l_partkey as varchar)) end as tracking_id,
-  concat('http://shop.example/ip?wl12=', cast(l_partkey as varchar), '_0&selectedsellerid=', cast(l_suppkey % 3 as varchar)) as page_url
-from lineitem join orders on l_orderkey = o_orderkey""",
-    "order_last_ref": """select order_no, order_date, max(visit_day) as created_on, max(tracking_id) as reflector_id
+       else concat('2222222222280', cast(l_partkey as varchar)) end as id_made
+  from lineitem join orders on l_orderkey = o_orderkey)""",
+    "order_last_ref": """select order_no, order_date, max(visit_day) as created_on, max(reflector_id) as reflector_id
 from order_visit_chain where order_no % 3 <> 0 group by order_no, order_date""",
     "promo_links": """select cast(p_partkey as varchar) as item_id, case when p_partkey % 2 = 0 then cast(p_partkey % 3 as varchar) end as seller_id,
   p_size % 10 as event_id, case when p_partkey % 2 = 0 then 2 else 4 end as source_id

@@ -238,7 +238,7 @@ class TestTables:
                         _s("l_partkey").alias("item_id"), _s(F.col("l_suppkey") % 3).alias("seller_id"),
                         F.col("p_brand").alias("brand"), F.col("l_extendedprice").alias("gmv_plcd"),
                         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("gmv_order"),
-                        F.col("o_orderdate").cast("date").alias("order_date")))
+                        F.col("l_returnflag").alias("fulfilment"), F.col("o_orderdate").cast("date").alias("order_date")))
 
     @stored
     def order_visit_chain(self) -> DataFrame:
@@ -250,17 +250,19 @@ class TestTables:
                     .when(ln <= 5, F.concat(F.lit("222222222"), F.lit("37"), item, F.lit("_1_1")))
                     .otherwise(F.concat(F.lit("2222222222280"), item)))
         od = F.col("o_orderdate").cast("date")
+        day = F.date_sub(od, (F.col("l_quantity") % 20).cast("int"))
         return li.join(o, li["l_orderkey"] == o["o_orderkey"]).select(
-            F.col("l_orderkey").alias("order_no"), od.alias("order_date"),
-            F.date_sub(od, (F.col("l_quantity") % 20).cast("int")).alias("visit_day"),
-            tracking.alias("tracking_id"),
+            F.col("l_orderkey").alias("order_no"), od.alias("order_date"), day.alias("visit_day"),
+            (F.unix_date(day).cast("bigint") * 86400 + ln * 3600).cast("bigint").alias("visit_epoch"),
+            F.when(ln == 7, F.concat(F.lit("r"), _s("l_orderkey"))).otherwise(tracking).alias("tracking_id"),
+            tracking.alias("reflector_id"),
             F.concat(F.lit("http://shop.example/ip?wl12="), item, F.lit("_0&selectedsellerid="), seller).alias("page_url"))
 
     @stored
     def order_last_ref(self) -> DataFrame:
         v = self.order_visit_chain
         return v.where(F.col("order_no") % 3 != 0).groupBy("order_no", "order_date").agg(
-            F.max("visit_day").alias("created_on"), F.max("tracking_id").alias("reflector_id"))
+            F.max("visit_day").alias("created_on"), F.max("reflector_id").alias("reflector_id"))
 
     @stored
     def promo_links(self) -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,13 +19,19 @@ def test_tracking_id_branches(spark):
     rows = [(1, D(2001, 6, 30), D(2001, 6, 29), "22222222227123_1_1_1", "http://s/ip?wl12=123_0&selectedsellerid=1"),
             (2, D(2001, 6, 30), D(2001, 6, 29), "22222222237123_1_1", "http://s/ip?wl12=123_0&selectedsellerid=2"),
             (3, D(2001, 6, 30), D(2001, 6, 29), "2222222222280123", "http://s/ip?wl12=123_0&selectedsellerid=0"),
-            (4, D(2001, 6, 30), D(2001, 6, 29), "garbage", "http://s/ip?wl12=123_0")]
-    v = spark.createDataFrame(rows, "order_no long, order_date date, visit_day date, tracking_id string, page_url string")
+            (4, D(2001, 6, 30), D(2001, 6, 29), "garbage", "http://s/ip?wl12=123_0"),
+            (5, D(2001, 6, 30), D(2001, 6, 29), "garbage", "http://s/ip?wl12=123_0"),
+            (6, D(2001, 6, 30), D(2001, 6, 29), None, "http://s/ip?wl12=123_0")]
+    v = spark.createDataFrame([(*r, "2222222222280456" if r[0] >= 5 else None, r[0] * 60) for r in rows],
+                              "order_no long, order_date date, visit_day date, tracking_id string, page_url string, "
+                              "reflector_id string, visit_epoch long")
     got = {r.order_no: r for r in A.parse_visits(v, _params(spark)).collect()}
     assert (got[1].adid, got[1].channel_id, got[1].item_ad, got[1].seller_ad, got[1].f_nas) == ("123_1_1_1", "27", "123", "1", "nas")
     assert (got[2].channel_id, got[2].item_ad, got[2].seller_ad, got[2].f_nas) == ("37", "123", "2", "nas")
     assert (got[3].adid, got[3].channel_id, got[3].f_nas) == ("80123", "22", "oas")
     assert got[4].adid is None and got[4].channel_id is None
+    assert (got[5].adid, got[5].channel_id, got[5].f_nas, got[5].visit_epoch) == ("80456", "22", "oas", 300)
+    assert 6 not in got  # no tracking id, no touch
 
 
 def test_channel_decode_unknown(spark):
@@ -48,6 +55,35 @@ def test_two_touches_claim_one_line(spark):
     assert sorted(r.num_claimants_brand for r in got) == [0, 1]
 
 
+TOUCH = "order_no long, t int, item_ad string, ad_brand string, event_ad int, seller_ad string"
+LINE = "order_no long, order_line_nbr int, item_purchase string, purchase_brand string, event_purchase int, seller_purchase string"
+
+
+def test_claims_equal_the_window_over_all_pairs(spark):
+    rnd = random.Random(5)
+    pick = lambda n: rnd.choice([None, "", *map(str, range(n))])
+    side = lambda: (pick(9), pick(5), rnd.choice([None, 1, 2, 3]), pick(3))
+    touches = [(rnd.randrange(6), t, *side()) for t in range(60)]
+    touches += touches[:5]  # repeated rows
+    lines = [(o, n, *side()) for o in range(6) for n in (None, 1, 2, 3, 4)]
+    touches, lines = spark.createDataFrame(touches, TOUCH), spark.createDataFrame(lines, LINE)
+    plain = A.claimant_counts(A.relation_flags(A.touch_lines(touches, lines)))
+    got = A.claims(touches, lines).select(*plain.columns)
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(got) == rows(plain) and got.count() > 50
+    assert A.claims(touches.limit(0), lines).count() == 0 and A.claims(touches, lines.limit(0)).count() == 0
+
+
+def test_hot_order_makes_only_related_pairs(spark):
+    n = 200_000
+    touches = spark.range(n).selectExpr("1L as order_no", "cast(id as int) as t", "concat('a', id) as item_ad", "concat('b', id) as ad_brand",
+                                        "cast(null as int) as event_ad", "concat('s', id % 50000) as seller_ad")
+    lines = spark.range(n).selectExpr("1L as order_no", "cast(id as int) as order_line_nbr", "concat('a', id * 1000) as item_purchase",
+                                      "concat('c', id) as purchase_brand", "7 as event_purchase", "concat('x', id) as seller_purchase")
+    got = A.claims(touches, lines)  # 40 billion pairs in all
+    assert got.count() == 200 and got.agg(F.sum("num_claimants_item")).first()[0] == 200
+
+
 def _bids(spark):
     return spark.createDataFrame(
         [("a", 2, 0, "D1", "S", 10.0, 1.0, "base"), ("b", 2, 0, "D1", "S", 10.0, 2.0, "base"),
