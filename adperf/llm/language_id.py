@@ -25,8 +25,8 @@ NO_LETTERS = re.compile(r"[\W\d_]+")
 _NUMBER_SIGNS = {c: " " for c in range(sys.maxunicode + 1) if chr(c).isalnum() and not chr(c).isalpha() and not chr(c).isdecimal()}
 #: Texts are compressed in blocks of so many bytes, each against the whole dictionary.
 BLOCK = 4096
-#: zstandard level of blocks, and of texts under SHORT bytes, where each byte decides (matches of three bytes count there).
-LEVEL, SHORT_LEVEL, SHORT = 5, 13, 512
+#: zstandard level; matches of three bytes count, since in short texts each byte decides. One setting for texts of every size.
+LEVEL, LEAST_MATCH = 13, 3
 #: A text is rejected if the second language needs less than this share of bytes more than the first.
 MARGIN = 0.001
 
@@ -69,13 +69,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 def _compressors(model: tuple[tuple[str, bytes], ...]):
     import zstandard as z
 
-    def of(content: bytes, level: int, **more):
-        p = z.ZstdCompressionParameters.from_level(level, source_size=BLOCK, dict_size=len(content), write_content_size=False, write_dict_id=False, **more)
+    def of(content: bytes):
+        p = z.ZstdCompressionParameters.from_level(LEVEL, source_size=BLOCK, dict_size=len(content), write_content_size=False, write_dict_id=False,
+                                                   strategy=z.STRATEGY_BTLAZY2, min_match=LEAST_MATCH)
         d = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
         d.precompute_compress(compression_params=p)
         return z.ZstdCompressor(compression_params=p, dict_data=d)
 
-    return ([(lang, of(x, LEVEL)) for lang, x in model], [(lang, of(x, SHORT_LEVEL, strategy=z.STRATEGY_BTLAZY2, min_match=3)) for lang, x in model])
+    return [(lang, of(x)) for lang, x in model]
 
 
 def blocks(data: bytes, most: int = BLOCK) -> list[bytes]:
@@ -95,7 +96,7 @@ def classify(text: str | None, model: tuple[tuple[str, bytes], ...]) -> tuple[st
     if not data or not model:
         return "und", 0.0
     parts = blocks(data)
-    sizes = sorted((sum(len(c.compress(p)) for p in parts), lang) for lang, c in _compressors(model)[len(data) < SHORT])
+    sizes = sorted((sum(len(c.compress(p)) for p in parts), lang) for lang, c in _compressors(model))
     if len(sizes) == 1:
         return sizes[0][1], 1.0
     return sizes[0][1], (sizes[1][0] - sizes[0][0]) / max(1, sizes[1][0])
