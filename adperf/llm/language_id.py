@@ -27,6 +27,8 @@ _NUMBER_SIGNS = {c: " " for c in range(sys.maxunicode + 1) if chr(c).isalnum() a
 BLOCK = 4096
 #: zstandard level; matches of three bytes count, since in short texts each byte decides. One setting for texts of every size.
 LEVEL, LEAST_MATCH = 13, 3
+#: Search depth (a power of two) and the match length that ends a search: deeper or longer costs a sixth more and finds no better languages.
+SEARCH, ENOUGH = 2, 4
 #: A text is rejected if the second language needs less than this share of bytes more than the first.
 MARGIN = 0.001
 
@@ -71,7 +73,8 @@ def _compressors(model: tuple[tuple[str, bytes], ...]):
 
     def of(content: bytes):
         p = z.ZstdCompressionParameters.from_level(LEVEL, source_size=BLOCK, dict_size=len(content), write_content_size=False, write_dict_id=False,
-                                                   strategy=z.STRATEGY_BTLAZY2, min_match=LEAST_MATCH)
+                                                   strategy=z.STRATEGY_BTLAZY2, min_match=LEAST_MATCH,
+                                                   search_log=SEARCH, target_length=ENOUGH)
         d = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
         d.precompute_compress(compression_params=p)
         return z.ZstdCompressor(compression_params=p, dict_data=d)
