@@ -8,12 +8,17 @@ the staging write observed, and only then swaps them in.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+import uuid
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from adperf.operators.evaluate import composite_rpc
 from adperf.operators.ordering import dedup_first
 from adperf.session import drop_path, scratch_path
+from adperf.sources.files import literal
 
 PRED_KEY = ["ad_id", "is_mobile", "division"]
 
@@ -90,3 +95,50 @@ def publish_dynamic(df: DataFrame, path: str, partition_cols: list[str], expecte
     finally:
         drop_path(spark, staging)
     return got
+
+
+def _location(spark: SparkSession, table: str, spec: str = "") -> str:
+    rows = spark.sql(f"describe table extended {table} {spec}")
+    return rows.where("col_name = 'Location'").first()["data_type"]
+
+
+def publish_table(df: DataFrame, table: str, static: dict, dynamic: list[str], expected_rows: DataFrame | None = None) -> dict:
+    """Replaces partitions of a catalog table, each by one change of its location (ops A7, I2).
+
+    ``static`` gives the values of some partition columns, the rows give those
+    of ``dynamic``; only the partitions that the rows name are replaced. The new
+    files are written beside the table, observed in the same job, and compared
+    with ``expected_rows``; then the catalog points each partition to its new
+    folder. A reader sees a partition's old files or its new ones, never a part,
+    and ``df`` may read what it replaces. Rows without a value in a dynamic
+    column or another count than expected are an error and change nothing. The
+    old folders stay for readers that have begun; the result lists them
+    (``replaced``) for the caller to delete. Without rows nothing changes.
+    """
+    spark = df.sparkSession
+    fields = [f for f in spark.table(table).schema.fields if f.name not in static]
+    fresh = f"{_location(spark, table).rstrip('/')}-published/{uuid.uuid4().hex}"
+    obs = Observation("publish")
+    missing = F.count_if(reduce(or_, [F.col(c).isNull() for c in dynamic], F.lit(False)))
+    rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+    rows.observe(obs, F.count(F.lit(1)).alias("rows"), missing.alias("missing")).write.partitionBy(*dynamic).parquet(fresh)
+    got = obs.get
+    want = got["rows"] if expected_rows is None else expected_rows.count()
+    if got["missing"] or got["rows"] != want:
+        drop_path(spark, fresh)
+        raise ValueError(f"{got['rows']} rows to publish, {got['missing']} of them without a partition, expected {want}")
+    replaced = []
+    if got["rows"]:
+        # Driver work is one row per partition, as many as the catalog itself is told of.
+        encoded = F.regexp_replace("_metadata.file_path", "/[^/]+$", "")
+        folder = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+        written = spark.read.schema(rows.schema).parquet(fresh)
+        for part in written.select(*[F.col(c).cast("string") for c in dynamic], folder.alias("_folder")).distinct().collect():
+            values = static | {c: part[c] for c in dynamic}
+            spec = f"partition ({', '.join(f'{c} = {literal(v)}' for c, v in values.items())})"
+            if spark.sql(f"show partitions {table} {spec}").isEmpty():
+                spark.sql(f"alter table {table} add {spec} location {literal(part['_folder'])}")
+            else:
+                replaced.append(_location(spark, table, spec))
+                spark.sql(f"alter table {table} {spec} set location {literal(part['_folder'])}")
+    return {"rows": got["rows"], "replaced": replaced}

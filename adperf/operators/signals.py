@@ -135,13 +135,22 @@ def catalog_signal(universe: DataFrame, catalog: DataFrame, *, anchor: str, wind
 
 # ----------------------------------------------------------------- site signal
 SITE_ACTIONS = ("pageView", "addToCart")
+PIPELINES = ("WEB", "APP")
+PAGE_CONTEXT = "productPage"
 
 
-def page_events(events_nested: DataFrame, *, anchor: str, window: DayWindow, excluded=()) -> DataFrame:
-    """Product page views and add-to-carts with a usable item (ops B7, B8, B10)."""
+def page_events(events_nested: DataFrame, *, anchor: str, window: DayWindow, excluded=(), pipelines: tuple[str, ...] = PIPELINES,
+                context: str = PAGE_CONTEXT) -> DataFrame:
+    """Product page views and add-to-carts of a known visitor with a usable item (ops B7, B8, B10).
+
+    Events of other pipelines (crawlers, stores) or of other pages than the
+    given context are left out, as are those whose visitor or item is null,
+    empty or the ``\\N`` marker.
+    """
     item = first_of("item_set")
     return (events_nested.where(window_filter("dt", anchor, window, excluded))
-            .where(not_sentinel(item) & F.col("action").isin(*SITE_ACTIONS))
+            .where(not_sentinel("visitor") & not_sentinel(item) & F.col("action").isin(*SITE_ACTIONS)
+                   & F.col("pipeline").isin(*pipelines) & (F.col("context") == context))
             .select("session_id", "dt", item.alias("item_id"), "action"))
 
 

@@ -24,6 +24,8 @@ from adperf.plans.q_eval import FEATS, model_frame, stored_model_frame
 from adperf.plans.q_merge import BC, SITE, UBER, WP_COLS, _priced
 from adperf.plans.sqlkit import d, final, fixtures, win
 from adperf.session import materialize, path_exists, scratch_path, spread
+from adperf.sources.files import create_partitioned
+from adperf.sources.scans import newest_snapshot
 
 Q: dict = {}
 SQL: dict = {}
@@ -95,14 +97,20 @@ SQL["snapshot_union"] = _snap_sql()
 # C25 / A12 ---------------------------------------------------------------------
 @register("text_lookup")
 def q_text_lookup(spark, sf):
+    """Texts by the cross-reference from the newest of a catalog table's snapshots, found in its list of partitions."""
     T = tables(spark, sf)
-    t = X.text_lookup(universe(T), None, T.item_text)
+    path = scratch_path(spark, "item-text")
+    name = f"item_text_{path[-12:]}"
+    create_partitioned(spark, name, "item_id bigint, item_name string, item_short_desc string, ts date", ["ts"], path)
+    T.item_text_daily.select("item_id", "item_name", "item_short_desc", "ts").write.insertInto(name)
+    t = X.text_lookup(universe(T), T.offer_xref, newest_snapshot(spark, name))
     return finalize(t.select("ad_id", "item_id", "item_name", F.length("item_short_desc").alias("desc_chars")))
 
 
-SQL["text_lookup"] = f"""with {fixtures(*UNIVERSE_FIXTURES, 'item_text')}, {universe_sql()},
-j as (select distinct u.ad_id, u.item_id, t.item_name, t.item_short_desc from universe u
-  join item_text t on u.item_id = cast(t.item_id as varchar)),
+SQL["text_lookup"] = f"""with {fixtures(*UNIVERSE_FIXTURES, 'item_text_daily')}, {universe_sql()},
+j as (select distinct x.ad_id, x.item_id, t.item_name, t.item_short_desc from universe u
+  join offer_xref x on u.ad_id = x.ad_id join item_text_daily t on x.item_id = cast(t.item_id as varchar)
+  where t.ts = (select max(ts) from item_text_daily)),
 r as (select *, row_number() over (partition by ad_id order by item_id, item_name, item_short_desc) as rn from j)
 select ad_id, item_id, item_name, cast(length(item_short_desc) as int) as desc_chars from r where rn = 1"""
 
@@ -220,8 +228,9 @@ def q_model_eval_table(spark, sf):
 # H9 ----------------------------------------------------------------------------
 @register("fm_regression")
 def q_fm_regression(spark, sf):
-    mf = stored_model_frame(tables(spark, sf))
-    return finalize(M.fm_regression(mf, AD_KEY, ["department_id", "division_id", "category_id"], "sem_rpc_seller_l"))
+    T = tables(spark, sf)
+    mf = stored_model_frame(T).join(S.item_brands(T.item_dim), "item_id", "left")
+    return finalize(M.fm_regression(mf, AD_KEY, ["item_id", "seller_id", "brand", "department_id", "division_id", "category_id"], "sem_rpc_seller_l"))
 
 
 # H6 / C26 ----------------------------------------------------------------------

@@ -120,6 +120,22 @@ def q_publish_dynamic(spark, sf):
     return finalize(spark.read.schema(BID_SCHEMA).parquet(path))
 
 
+@register("publish_table")
+def q_publish_table(spark, sf):
+    """As ``publish_dynamic`` into a catalog table: new files beside it, then each partition's location changes."""
+    T = tables(spark, sf)
+    path = scratch_path(spark, "bid-table")
+    name = f"bids_{path[-12:]}"
+    IO.create_partitioned(spark, name, BID_SCHEMA, PART_COLS, path)
+    days = F.explode(F.array(F.lit(OLD_DAY), F.lit(NEW_DAY)))
+    start = T.bid_table.select(*BID_COLS, days.alias("ds"), F.lit("LTA").alias("method"), F.lit("warm").alias("model"), _tier(F.col("clicks_l2wk")).alias("confidence"))
+    start.write.insertInto(name)
+    fixed = {"ds": NEW_DAY, "method": "LTA", "model": "warm"}
+    prod = spark.table(name).where(" and ".join(f"{c} = '{v}'" for c, v in fixed.items()))
+    P.publish_table(P.gated_override(prod, T.predictions, T.ab_groups, DIVISIONS), name, fixed, ["confidence"], expected_rows=prod)
+    return finalize(spark.table(name))
+
+
 def _pub_dyn_sql():
     tier = "case when clicks_l2wk >= 200 then 1 when clicks_l2wk >= 100 then 2 else 3 end"
     cols = ", ".join(BID_COLS)
@@ -130,6 +146,7 @@ select {cols}, '{NEW_DAY}' as ds, 'LTA' as method, 'warm' as model, {tier} as co
 
 
 SQL["publish_dynamic"] = _pub_dyn_sql()
+SQL["publish_table"] = _pub_dyn_sql()
 
 
 # A3 ----------------------------------------------------------------------------

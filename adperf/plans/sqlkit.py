@@ -45,7 +45,10 @@ from lineitem join part on l_partkey = p_partkey""",
     "session_events": """select event_id, concat(cast(user_id as varchar), '_', cast(cast(ts as date) as varchar)) as session_id,
   date '2001-06-01' + cast(day(ts) - 1 as int) as dt,
   regexp_extract(props, '([0-9]+)', 1) as item_id,
-  case when event_type = 'view' then 'pageView' when event_type = 'click' then 'addToCart' else event_type end as action
+  case when event_type = 'view' then 'pageView' when event_type = 'click' then 'addToCart' else event_type end as action,
+  case when event_id % 53 = 0 then null when event_id % 47 = 0 then '' when event_id % 43 = 0 then '\\N' else cast(user_id as varchar) end as visitor,
+  case when event_id % 11 = 0 then 'BOT' when event_id % 3 = 0 then 'APP' else 'WEB' end as pipeline,
+  case when event_id % 13 = 0 then 'searchPage' else 'productPage' end as context
 from events""",
     "session_products": """select distinct session_id, dt, action, cast(event_id % 3 as varchar) as seller_id, concat('P', item_id) as product_id
 from session_events where event_id % 4 <> 0""",
@@ -82,6 +85,8 @@ group by t.ad_id, t.source_id, t.is_mobile, p_type, p_brand""",
 from bid_table where source_id = 2""",
     "ab_groups": """select distinct ad_id as adid, case when length(ad_id) % 2 = 0 then '1' else '0' end as grp from bid_table""",
     "item_text": """select doc_id as item_id, split_part(text, '.', 1) as item_name, text as item_short_desc from documents""",
+    "item_text_daily": """select item_id, item_name, item_short_desc, date '2001-06-29' as ts from item_text
+union all select item_id, concat('old ', item_name), item_short_desc, date '2001-06-01' from item_text""",
     "channel_params": """select 1 as customer_id, '^2{9}[0-9]+$' as id_regex, 10 as channel_pos, 10 as adid_length""",
     "ad_item_xref": """select cast(concat('80', cast(p_partkey as varchar)) as bigint) as legacy_id, cast(p_partkey as varchar) as item_id from part""",
     "traffic_flat": f"""select ds as day, source_id, is_mobile, is_pla, structure_version, {CAMPAIGN} as campaign, ad_id, split_part(ad_id, '_', 1) as item_id, seller_id,
@@ -100,7 +105,7 @@ FIXTURE_DEPS: dict[str, list[str]] = {
     "session_products": ["session_events"], "session_stats": ["session_events"],
     "order_last_ref": ["order_visit_chain"], "bid_table": ["traffic_daily"], "predictions": ["bid_table"],
     "ab_groups": ["bid_table"], "traffic_flat": ["traffic_daily"], "seller_accounts": ["traffic_flat"],
-    "attributed_gmv": ["attributed_14d"],
+    "attributed_gmv": ["attributed_14d"], "item_text_daily": ["item_text"],
 }
 
 

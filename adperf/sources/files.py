@@ -1,4 +1,4 @@
-"""File sources and sinks with explicit schemas (ops A3, A4, A6, A8, A11)."""
+"""File sources and sinks with explicit schemas (ops A3, A4, A6-A8, A11)."""
 
 from __future__ import annotations
 
@@ -47,3 +47,13 @@ def read_signal(spark: SparkSession, path: str, snapshot: str, signal: str, wind
     """
     rows = spark.read.parquet(path).where((F.col("snapshot_date") == F.lit(snapshot).cast("date")) & (F.col("signal") == signal) & F.col("window").isin(windows))
     return rows.select("snapshot_date", "window", *columns)
+
+
+def literal(value) -> str:
+    """A value as a string literal of SQL."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def create_partitioned(spark: SparkSession, table: str, schema: str, partition_cols: list[str], path: str) -> None:
+    """A catalog table over ``path`` whose partitions the catalog lists, if it is not there yet."""
+    spark.sql(f"create table if not exists {table} ({schema}) using parquet partitioned by ({', '.join(partition_cols)}) location {literal(path)}")

@@ -193,13 +193,17 @@ class TestTables:
             F.regexp_extract("props", r"([0-9]+)", 1).alias("item_id"),
             F.when(F.col("event_type") == "view", "pageView")
              .when(F.col("event_type") == "click", "addToCart")
-             .otherwise(F.col("event_type")).alias("action"))
+             .otherwise(F.col("event_type")).alias("action"),
+            F.when(F.col("event_id") % 53 == 0, None).when(F.col("event_id") % 47 == 0, "")
+             .when(F.col("event_id") % 43 == 0, "\\N").otherwise(_s("user_id")).alias("visitor"),
+            F.when(F.col("event_id") % 11 == 0, "BOT").when(F.col("event_id") % 3 == 0, "APP").otherwise("WEB").alias("pipeline"),
+            F.when(F.col("event_id") % 13 == 0, "searchPage").otherwise("productPage").alias("context"))
 
     @cached_property
     def session_events_nested(self) -> DataFrame:
         """``session_events`` with the item in a one-element array, as in the feed."""
         return self.session_events.select(
-            "event_id", "session_id", "dt", F.array("item_id").alias("item_set"), "action")
+            "event_id", "session_id", "dt", F.array("item_id").alias("item_set"), "action", "visitor", "pipeline", "context")
 
     @stored
     def session_products(self) -> DataFrame:
@@ -350,3 +354,11 @@ class TestTables:
         d = self.raw("documents")
         return d.select(F.col("doc_id").alias("item_id"), F.split_part("text", F.lit("."), F.lit(1)).alias("item_name"),
                         F.col("text").alias("item_short_desc"))
+
+    @cached_property
+    def item_text_daily(self) -> DataFrame:
+        """``item_text`` of both snapshot days; the older one has other names."""
+        old, new = (F.lit(day).cast("date") for day in SNAPSHOTS)
+        now = self.item_text
+        before = now.withColumns({"item_name": F.concat(F.lit("old "), F.col("item_name")), "ts": old})
+        return now.withColumn("ts", new).unionByName(before)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from adperf.operators import attribution as A
 from adperf.operators import publish as P
 from adperf.session import scratch_path
+from adperf.sources.files import create_partitioned
+from adperf.sources.scans import newest_partition, newest_snapshot
 
 D = dt.date
 
@@ -133,3 +135,46 @@ def test_publish_may_read_the_partition_it_overwrites(spark):
     doubled = spark.read.parquet(path).withColumn("adjusted_rpc", F.col("adjusted_rpc") * 2)
     P.publish_dynamic(doubled, path, ["ds"])
     assert spark.read.parquet(path).agg(F.sum("adjusted_rpc")).first()[0] == 20.0
+
+
+def _catalog_bids(spark, days=("d1", "d2")):
+    path = scratch_path(spark, "test-catalog")
+    name = f"bids_{path[-12:]}"
+    schema = "ad_id string, adjusted_rpc double, ds string, tier string"
+    create_partitioned(spark, name, schema, ["ds", "tier"], path)
+    rows = _bids(spark).select("ad_id", "adjusted_rpc", F.explode(F.array(*map(F.lit, days))).alias("ds"), F.lit("a:b c+'d").alias("tier"))
+    rows.write.insertInto(name)
+    return name
+
+
+def test_catalog_publish_swaps_named_partitions_only(spark):
+    name = _catalog_bids(spark)
+    new = spark.table(name).where("ds = 'd2'").withColumn("adjusted_rpc", F.col("adjusted_rpc") * 2)  # reads what it replaces
+    extra = new.limit(1).withColumn("tier", F.lit("new"))
+    got = P.publish_table(new.unionByName(extra), name, {"ds": "d2"}, ["tier"])
+    assert got["rows"] == 5 and len(got["replaced"]) == 1
+    sums = {(r.ds, r.tier): r.s for r in spark.table(name).groupBy("ds", "tier").agg(F.sum("adjusted_rpc").alias("s")).collect()}
+    assert sums[("d1", "a:b c+'d")] == 10.0 and sums[("d2", "a:b c+'d")] == 20.0 and len(sums) == 3
+    assert spark.read.parquet(got["replaced"][0]).count() == 4  # a reader that had begun still has its files
+
+
+def test_catalog_publish_refuses_wrong_counts_and_missing_partitions(spark):
+    name = _catalog_bids(spark)
+    rows = spark.table(name).where("ds = 'd2'")
+    with pytest.raises(ValueError, match="2 rows to publish"):
+        P.publish_table(rows.limit(2), name, {"ds": "d2"}, ["tier"], expected_rows=rows)
+    with pytest.raises(ValueError, match="4 of them without a partition"):
+        P.publish_table(rows.withColumn("tier", F.lit(None).cast("string")), name, {"ds": "d2"}, ["tier"])
+    assert P.publish_table(rows.limit(0), name, {"ds": "d2"}, ["tier"]) == {"rows": 0, "replaced": []}
+    assert spark.table(name).agg(F.sum("adjusted_rpc")).first()[0] == 20.0
+
+
+def test_newest_partition_is_listed_and_read_alone(spark):
+    path = scratch_path(spark, "test-newest")
+    name = f"snap_{path[-12:]}"
+    create_partitioned(spark, name, "v int, n int", ["n"], path)
+    assert newest_partition(spark, name, "n") is None and newest_snapshot(spark, name, "n").count() == 0
+    spark.createDataFrame([(1, 9), (2, 10), (3, None)], "v int, n int").write.insertInto(name)
+    newest = newest_snapshot(spark, name, "n")
+    assert newest_partition(spark, name, "n") == 10 and [r.v for r in newest.collect()] == [2]
+    assert "InMemoryFileIndex(1 paths)" in newest._jdf.queryExecution().executedPlan().toString()

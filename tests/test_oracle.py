@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 KEYS = ["ad_signal", "ad_signal_attr", "feature_build", "click_bucket", "label_first_n", "site_offer", "bounce_item",
         "attribution", "spend_revenue_report", "gated_override", "eval_table", "variant_cluster", "tfidf_terms",
-        "publish_dynamic", "weighted_price", "signal_dataset", "label_encode"]
+        "publish_dynamic", "publish_table", "text_lookup", "variant_members", "weighted_price", "signal_dataset", "label_encode"]
 
 
 def _norm(v):
@@ -44,7 +44,7 @@ def test_matches_oracle(spark, con, key):
 
 def test_registry_complete():
     q, s = catalog.queries(), catalog.oracle_sql()
-    assert len(q) == 108 and set(s) <= set(q)
+    assert len(q) == 111 and set(s) <= set(q)
     assert set(q) - set(s) == {"gbt_oof", "kfold_score", "text_svd", "fm_regression", "text_model_frame", "model_eval_table"}
     assert set(q) <= set(E.queries())
 
