@@ -189,7 +189,7 @@ select {', '.join(TSV_NAMES)} from traffic_daily where {win('ds', W1)}""", float
 def q_stage_partitioned(spark, sf):
     T = tables(spark, sf)
     path = scratch_path(spark, "stage")
-    page = S.page_events(T.session_events_nested, anchor=ANCHOR, window=W1, excluded=EXCLUDED)
+    page = S.site_events(T.session_events_nested, anchor=ANCHOR, window=W1, excluded=EXCLUDED)
     IO.stage_partitioned(page, path, ["dt", "action"])
     back = spark.read.schema("session_id string, item_id string, dt date, action string").parquet(path)
     return finalize(back.where(S.window_filter("dt", ANCHOR, W1, EXCLUDED)))
