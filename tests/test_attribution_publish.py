@@ -86,6 +86,16 @@ def test_hot_order_makes_only_related_pairs(spark):
     assert got.count() == 200 and got.agg(F.sum("num_claimants_item")).first()[0] == 200
 
 
+def test_claims_shuffle_each_side_once_and_the_pairs_once(spark):
+    touches = spark.createDataFrame([(1, 1, "a", "b", 1, "s"), (1, 2, "a", None, None, "s")], TOUCH)
+    lines = spark.createDataFrame([(1, 1, "a", "b", None, "s"), (1, 2, "x", "b", 1, "t")], LINE)
+    got = A.claims(touches, lines)
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("HashAggregate") + plan.count("SortAggregate") == 0 and plan.count("Join") == 1
+    counts = sorted((r.t, r.order_line_nbr, r.num_claimants_item, r.num_claimants_brand, r.num_claimants_coop, r.num_claimants_seller) for r in got.collect())
+    assert counts == [(1, 1, 2, 1, 0, 2), (1, 2, 0, 1, 1, 0), (2, 1, 2, 0, 0, 2)]
+
+
 def _bids(spark):
     return spark.createDataFrame(
         [("a", 2, 0, "D1", "S", 10.0, 1.0, "base"), ("b", 2, 0, "D1", "S", 10.0, 2.0, "base"),
