@@ -29,6 +29,8 @@ BLOCK = 4096
 LEVEL, LEAST_MATCH = 13, 3
 #: Search depth (a power of two) and the match length that ends a search: deeper or longer costs a sixth more and finds no better languages.
 SEARCH, ENOUGH = 2, 4
+#: The same for a second look at texts that would be rejected, which are few.
+DEEP_SEARCH, DEEP_ENOUGH = 9, 256
 #: A text is rejected if the second language needs less than this share of bytes more than the first.
 MARGIN = 0.001
 
@@ -67,14 +69,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return {k: "\n".join(map(letters, v)).encode() for k, v in out.items()}
 
 
-@lru_cache(maxsize=2)
-def _compressors(model: tuple[tuple[str, bytes], ...]):
+@lru_cache(maxsize=4)
+def _compressors(model: tuple[tuple[str, bytes], ...], search: int = SEARCH, enough: int = ENOUGH):
     import zstandard as z
 
     def of(content: bytes):
         p = z.ZstdCompressionParameters.from_level(LEVEL, source_size=BLOCK, dict_size=len(content), write_content_size=False, write_dict_id=False,
                                                    strategy=z.STRATEGY_BTLAZY2, min_match=LEAST_MATCH,
-                                                   search_log=SEARCH, target_length=ENOUGH)
+                                                   search_log=search, target_length=enough)
         d = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
         d.precompute_compress(compression_params=p)
         return z.ZstdCompressor(compression_params=p, dict_data=d)
@@ -99,7 +101,12 @@ def classify(text: str | None, model: tuple[tuple[str, bytes], ...]) -> tuple[st
     if not data or not model:
         return "und", 0.0
     parts = blocks(data)
-    sizes = sorted((sum(len(c.compress(p)) for p in parts), lang) for lang, c in _compressors(model))
+    lang, score = _closest(parts, _compressors(model))
+    return (lang, score) if score >= MARGIN else _closest(parts, _compressors(model, DEEP_SEARCH, DEEP_ENOUGH))
+
+
+def _closest(parts: list[bytes], compressors: list) -> tuple[str, float]:
+    sizes = sorted((sum(len(c.compress(p)) for p in parts), lang) for lang, c in compressors)
     if len(sizes) == 1:
         return sizes[0][1], 1.0
     return sizes[0][1], (sizes[1][0] - sizes[0][0]) / max(1, sizes[1][0])
