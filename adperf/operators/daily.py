@@ -3,8 +3,8 @@
 The daily facts are summed once to one row a key and day and written by month. A
 later run adds months that are not there yet and reads nothing else of the
 facts. Windows of several anchors come from the months their spans touch, in one
-pass: a row goes to each anchor whose span holds its day, and each window is a
-conditional sum over the day's distance from the anchor.
+pass: a row goes to each anchor whose span holds its day, and is summed into the
+segment of days between two windows' ends that it lies in.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from adperf.functions.exprs import AD_KEY
 from adperf.functions.metrics import metric_columns, metric_spec
 from adperf.functions.names import LABEL_REMAP, FeatureName
-from adperf.functions.windows import DayWindow, as_date, effective_days
+from adperf.functions.windows import DayWindow, as_date, effective_days, segments
+from adperf.operators.features import both_feeds, day_segment, segment_sums, window_base
 from adperf.operators.signals import ATTR_MEASURES, TRAFFIC_MEASURES
 from adperf.session import path_exists
 
@@ -71,36 +72,28 @@ def span(anchors: list[dt.date], windows: list[DayWindow]) -> tuple[dt.date, dt.
     return min(lo for lo, _ in bounds), max(hi for _, hi in bounds)
 
 
-def _anchored(days: DataFrame, anchors: list[dt.date], windows: list[DayWindow], measures: list[str], excluded, counts: bool) -> DataFrame:
-    far, near = max(w.far for w in windows), min(w.near for w in windows)
-    fits = F.filter(F.array(*[F.lit(a) for a in anchors]), lambda a: F.datediff(a, F.col("day")).between(near, far))
-    rows = days.where(~F.col("day").isin([F.lit(as_date(x)) for x in excluded])) if excluded else days
-    rows = rows.select(*AD_KEY, "day", *measures, F.explode(fits).alias("snapshot_date")).withColumn("back", F.datediff("snapshot_date", "day"))
-    aggs: list[Column] = []
-    for w in windows:
-        inside = F.col("back").between(w.near, w.far)
-        aggs += [F.count_if(inside).alias(f"_n__{w.name}")] if counts else []
-        aggs += [F.sum(F.when(inside, F.col(m))).alias(f"{m}__{w.name}") for m in measures]
-    return rows.groupBy("snapshot_date", *AD_KEY).agg(*aggs)
-
-
 def anchored_features(traffic_days: DataFrame, attributed_days: DataFrame, *, anchors: list[dt.date], windows: list[DayWindow], excluded=(), prefix: str = "sem_") -> DataFrame:
     """The attributed ad signal of all windows for each anchor: snapshot_date, ad key, ``sem_<metric>_<window>``.
 
-    One shuffle a feed whatever the number of anchors and windows. Attributed
-    measures count only where the ad has traffic in the window.
+    One shuffle of the daily rows whatever the number of anchors and windows:
+    both feeds are dealt by ad as they are, and a row goes to the anchors whose
+    span holds its day only then. Attributed measures count only where the ad
+    has traffic in the window.
     """
-    t = _anchored(traffic_days, anchors, windows, TRAFFIC_MEASURES, excluded, True)
-    a = _anchored(attributed_days, anchors, windows, ATTR_MEASURES, excluded, False)
+    skipped = [F.lit(as_date(x)) for x in excluded]
+    days = both_feeds(traffic_days, attributed_days).repartition(*AD_KEY)
+    rows = (days.where(~F.col("day").isin(skipped)) if skipped else days).withColumn("snapshot_date", F.explode(F.array(*[F.lit(a) for a in anchors])))
+    back = F.datediff("snapshot_date", "day")
+    rows = rows.withColumn("_segment", day_segment(lambda near, far: back.between(near, far), windows)).where("_segment is not null")
     key = ["snapshot_date", *AD_KEY]
+    wide = segment_sums(rows, key, windows, [F.sum(m).alias(m) for m in ("_n", *TRAFFIC_MEASURES, *ATTR_MEASURES)])
+    found = F.coalesce(*[F.col(f"{i}__n") for i in range(len(segments(windows)))]).isNotNull()  # an ad without traffic has no row
     spec = metric_spec(("brand", "seller"))
     cols: list[Column] = []
     for w in windows:
-        present = F.col(f"_n__{w.name}") > 0
-        base = {m: F.col(f"{m}__{w.name}") for m in TRAFFIC_MEASURES} | {m: F.when(present, F.col(f"{m}__{w.name}")) for m in ATTR_MEASURES}
-        by_anchor = F.create_map(*[F.lit(x) for a_ in anchors for x in (a_, effective_days(a_, w, excluded))])
-        cols += metric_columns(spec, base, by_anchor[F.col("snapshot_date")], prefix, f"_{w.name}")
-    return t.join(a, key, "left").select(*key, *cols)
+        by_anchor = F.create_map(*[F.lit(x) for a in anchors for x in (a, effective_days(a, w, excluded))])
+        cols += metric_columns(spec, window_base(w, windows), by_anchor[F.col("snapshot_date")], prefix, f"_{w.name}")
+    return wide.where(found).select(*key, *cols)
 
 
 def renamed_labels(df: DataFrame, remap: dict[str, str] | None = None) -> DataFrame:
