@@ -188,3 +188,12 @@ def test_newest_partition_is_listed_and_read_alone(spark):
     newest = newest_snapshot(spark, name, "n")
     assert newest_partition(spark, name, "n") == 10 and [r.v for r in newest.collect()] == [2]
     assert "InMemoryFileIndex(1 paths)" in newest._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_tracking_id_is_matched_once_a_row(spark):
+    visits = spark.createDataFrame([], "order_no long, order_date date, visit_day date, tracking_id string, page_url string, reflector_id string, visit_epoch long").cache()
+    refs = spark.createDataFrame([], "order_no long, order_date date, created_on date, reflector_id string").cache()
+    xref = spark.createDataFrame([], "legacy_id long, item_id string").cache()
+    for df in (A.decoded_visits(visits, _params(spark)), A.decoded_referrers(refs, _params(spark), xref)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString().upper()
+        assert plan.count("RLIKE") == 3, plan  # 19 and 14 when every column repeated the patterns
