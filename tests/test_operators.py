@@ -130,3 +130,22 @@ def test_boosted_models_learn_from_every_signal_and_window_but_the_label():
     assert all(f"sem_{m}_{w.name}" in f for m in ("clicks", "gmv_seller", "roas_brand") for w in FEATURE_WINDOWS if w.name != "l")
     assert all(x in f for w in SITE_WINDOWS for x in (f"site_convrt_{w.name}", f"bc_bounce_rate_{w.name}"))
     assert {"is_mobile", "uber_curr_item_price_w1", "uber_weight_price_cart_w1_brand", "title_svd_31", "desc_svd_63"} <= set(f)
+
+
+def test_report_brings_its_wide_rows_together_once(spark):
+    from adperf.operators import report as R
+
+    days = [("i1", "0"), ("i1", None), ("i1", "2"), ("i2", "1"), (None, "1"), (None, "2")]
+    rows = [(item, seller, f"{item}_{seller}", 4, 0, 1, 1, 0, dt.date(2001, 1, 1)) for item, seller in days for _ in range(2)]
+    feed = spark.createDataFrame(rows, "item_id string, seller_id string, ad_id string, source_id int, is_mobile int, is_pla int, structure_version int, "
+                                       "is_target_all int, ad_date date").withColumns({m: F.lit(1.0) for m in R.REVENUE})
+    out = R.even_split(R.attributed_rollup(feed.repartition("item_id")))
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {(r.item_id, r.seller_id): (r.num_sellers, r.gmv_item) for r in out.collect()} == {
+        (i, s): ({"i1": 3, "i2": 1}.get(i), 2.0) for i, s in days}
+    spend = out.select(*R.KEY, *[F.lit(3.0).alias(m) for m in [*R.SPEND, *R.SHARES]])
+    brands = spark.createDataFrame([("i1", "b1"), ("i3", "b3")], "item_id string, brand string")
+    revenue = R.attributed_rollup(feed)
+    late = R.branded(R.first_structure_report(spend, revenue), brands)
+    early = R.first_structure_report(spend, revenue, brands)
+    assert sorted(map(str, early.select(*R.REPORT).collect())) == sorted(map(str, late.select(*R.REPORT).collect()))
