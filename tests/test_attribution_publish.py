@@ -86,6 +86,25 @@ def test_hot_order_makes_only_related_pairs(spark):
     assert got.count() == 200 and got.agg(F.sum("num_claimants_item")).first()[0] == 200
 
 
+def test_orders_of_few_rows_meet_as_a_whole(spark):
+    """Whichever orders are crowded, the rows are the same; the others' rows are not dealt by relation, their pairs not again by line."""
+    rnd = random.Random(5)
+    side = lambda: [rnd.choice([None, "a", "b", "c"]), rnd.choice([None, "x", "y"]), rnd.choice([None, 1, 2]), rnd.choice([None, "0", "s"])]
+    touches = spark.createDataFrame([(rnd.choice([None, *range(7)]), t, *side()) for t in range(80)], TOUCH)
+    lines = spark.createDataFrame([(o, n, *side()) for o in (None, *range(7)) for n in (None, 1, 2, 3)], LINE)
+    want = A.claims(touches, lines)
+    rows = lambda df: sorted(map(str, df.select(*want.columns).collect()))
+    assert [r.order_no for r in A.crowded_orders(spark.createDataFrame([(4,), (4,), (4,), (5,)], "order_no int"), most=2).collect()] == [4]
+    for crowded in ([], [1, 4], [None, *range(7)]):
+        got = A.claims_by_order(touches, lines, spark.createDataFrame([(o,) for o in crowded], "order_no int"))
+        assert rows(got) == rows(want)
+    wide = lambda df, name: df.hint("merge").withColumn(name, F.lit("w" * 30))
+    plan = A.claims_by_order(wide(touches, "t"), wide(lines, "l"), spark.range(0).selectExpr("cast(id as int) as order_no"))
+    plan.collect()
+    final = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "relation" not in final and "hashpartitioning(order_no" in final and "order_line_nbr" not in "".join(x.split(")")[0] for x in final.split("hashpartitioning(")[1:])
+
+
 def test_claims_shuffle_each_side_once_and_the_pairs_once(spark):
     touches = spark.createDataFrame([(1, 1, "a", "b", 1, "s"), (1, 2, "a", None, None, "s")], TOUCH)
     lines = spark.createDataFrame([(1, 1, "a", "b", None, "s"), (1, 2, "x", "b", 1, "t")], LINE)
